@@ -9,13 +9,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-
-#: Bytes of text that one Arrow batch sent back to Spark may hold (one row may exceed it alone).
-BATCH_BYTES = 8 << 20
-
+from pyspark.sql import functions as F
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of this process where it is unset (local mode)."""
@@ -62,40 +58,18 @@ def row_numbers() -> Iterator[int]:
         at += 1
 
 
-def utf8_views(column: pa.Array) -> tuple[memoryview, list[int]]:
-    """The UTF-8 bytes of a string column (nulls are empty) as one buffer, and the offsets of its rows."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
-    at = pa.Array.from_buffers(pa.int64(), len(column) + 1, [None, column.buffers()[1]], offset=column.offset) if len(column) else pa.array([0], pa.int64())
-    data = column.buffers()[2] if len(column) else None
-    return memoryview(data) if data is not None else memoryview(b""), at.to_pylist()
-
-
-class Batcher:
-    """Collects rows as columns and hands them on as Arrow batches of bounded bytes."""
-
-    def __init__(self, schema: pa.Schema, most_bytes: int = BATCH_BYTES, most_rows: int = 50_000):
-        self.schema, self.most_bytes, self.most_rows = schema, most_bytes, most_rows
-        self.columns: list[list] = [[] for _ in schema]
-        self.held = 0
-
-    def add(self, row: tuple, weight: int = 64) -> None:
-        for column, value in zip(self.columns, row, strict=True):
-            column.append(value)
-        self.held += weight
-
-    def full(self) -> bool:
-        return self.held >= self.most_bytes or len(self.columns[0]) >= self.most_rows
-
-    def take(self) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(self.columns, self.schema, strict=True)], schema=self.schema)
-        self.columns, self.held = [[] for _ in self.schema], 0
-        return out
+def least_frequency(df: DataFrame, column: str, most: int) -> int | None:
+    """The least value of an integer column from which on there are at most `most` rows, on a grid of 16 steps per power of two; None if even the top step holds more.
 
-    def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.columns[0]:
-            yield self.take()
+    What reaches the driver is one count per step, a thousand at most."""
+    step = F.floor(F.log2(F.greatest(F.col(column), F.lit(1)).cast("double")) * 16).alias("step")
+    total, least = 0, None
+    for row in df.groupBy(step).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low")).orderBy(F.desc("step")).collect():
+        total += row["n"]
+        if total > most:
+            break
+        least = row["low"]
+    return least
 
 
 def tokenizer(path: str, cache: dict = {}):  # noqa: B006  one load for each worker process

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import secret_scan
+from . import secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,3 +27,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document by rules and Markov models, as counts and spans."""
     docs = table(spark, sf_dir, "documents")
     return secret_scan.digest(secret_scan.scan(docs, secret_scan.train_on_corpus(docs)))
+
+
+@query
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the byte-level tokenizer, and whether a context of 1,024 tokens is exceeded."""
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
