@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secret_scan, token_count
+from . import packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -33,3 +33,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the byte-level tokenizer, and whether a context of 1,024 tokens is exceeded."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
