@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, secret_scan, token_count
+from . import bpe_codec, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -39,3 +39,9 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
+
+
+@query
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    return bpe_codec.code(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
