@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, packing, secret_scan, token_count
+from . import bpe_codec, language_id, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -45,3 +45,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text they decode to."""
     return bpe_codec.code(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs.where(~language_id.is_held_out("doc_id"))))
