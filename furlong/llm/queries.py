@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language_id, packing, secret_scan, token_count
+from . import bpe_codec, language_id, media, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,3 +52,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two thirds of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs.where(~language_id.is_held_out("doc_id"))))
+
+
+@query
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as a media member of an archive directory, read back and described."""
+    return media.text_media(table(spark, sf_dir, "documents"))
