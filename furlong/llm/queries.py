@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, language_id, media, packing, secret_scan, token_count
+from . import bpe_codec, chat_format, language_id, media, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -58,3 +58,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a media member of an archive directory, read back and described."""
     return media.text_media(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted into windows and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", chat_format.PROBE), (-1, 1, "assistant", chat_format.PROBE)], turns.schema)
+    return chat_format.digest(chat_format.windows(turns.unionByName(probe)))
+
+
+ORACLE_SQL["op6_chat_format"] = chat_format.SQL
