@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, language_id, media, packing, secret_scan, token_count
+from . import bpe_codec, chat_format, language_id, license_scan, media, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -69,3 +69,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op6_chat_format"] = chat_format.SQL
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document: its own by cosine to templates, else that of the nearest directory."""
+    return license_scan.scan(license_scan.document_paths(table(spark, sf_dir, "documents")))
+
+
+ORACLE_SQL["op8_license_scan"] = license_scan.sql()
