@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, language_id, license_scan, media, packing, secret_scan, token_count
+from . import bpe_codec, chat_format, jaccard_join, language_id, license_scan, media, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -78,3 +78,9 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op8_license_scan"] = license_scan.sql()
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups of documents whose four-word shingles overlap by 0.85 or more."""
+    return jaccard_join.groups(table(spark, sf_dir, "documents"), 4, 85, 100)
