@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, jaccard_join, language_id, license_scan, media, packing, secret_scan, token_count
+from . import bpe_codec, chat_format, embedding_dedup, jaccard_join, language_id, license_scan, media, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -84,3 +84,9 @@ ORACLE_SQL["op8_license_scan"] = license_scan.sql()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The groups of documents whose four-word shingles overlap by 0.85 or more."""
     return jaccard_join.groups(table(spark, sf_dir, "documents"), 4, 85, 100)
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors whose cosine is 0.9 or more: how many each links with, and its component."""
+    return embedding_dedup.neighbours(table(spark, sf_dir, "embeddings"), 0.9)
