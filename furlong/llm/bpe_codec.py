@@ -24,12 +24,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import least_frequency, row_numbers, stage
+from .common import least_frequency, row_numbers, stage, tokenizer
 from .word_units import WHITE, UnitEncoder, units_of
 
-#: Mean bytes of a chunk (a power of two), least and most bytes, and the bound of the broadcast hashes.
+#: Mean bytes of a chunk (the upper eight of the hash's 16 bits are zero at a cut), least and most bytes, and the bound of the broadcast hashes.
 CHUNK, LEAST, MOST, SHARED = 256, 64, 4096, 1 << 20
-GEAR = np.random.default_rng(16).integers(0, 1 << 32, 256, np.uint32)
+GEAR = np.random.default_rng(16).integers(0, 1 << 16, 256, np.uint16)
 FIRST_WHITE = regex.compile(f"[{WHITE}]")
 LAST_WHITE = regex.compile(f"[{WHITE}](?=[^{WHITE}]*\\Z)")
 
@@ -39,9 +39,9 @@ def boundaries(data: np.ndarray) -> np.ndarray:
     if len(data) < 2 * LEAST:
         return np.array([0, len(data)])
     h = GEAR[data]
-    for k in (1, 2, 4, 8):  # h[i] then depends on the last 16 bytes
-        h[k:] += h[:-k] << np.uint32(k)
-    at = np.flatnonzero((h >> np.uint32(8)) & np.uint32(CHUNK - 1) == 0) + 1
+    for k in (1, 2, 4, 8):  # h[i] then depends on the 16 bytes that end there
+        h[k:] += h[:-k] << np.uint16(k)
+    at = np.flatnonzero(h >> np.uint16(8) == 0) + 1
     at = at[at < len(data)]
     at = at[(data[at] & 0xC0) != 0x80]
     cuts, last = [0], 0
@@ -78,23 +78,21 @@ def chunks_of(text: str) -> Iterator[tuple[int, bytes]]:
 
 
 def core(chunk: str, encoder: UnitEncoder) -> tuple[int, int] | None:
-    """Where the reusable core of a chunk begins and ends: at white space from which on the ids of a longer window agree
-    with those of its two sides encoded alone. None if there is no such core."""
+    """Where the reusable core of a chunk begins and ends: at white space, moved inwards until the library's ids of a window across it
+    are those of its two sides encoded apart. None if there is no such core."""
+
+    def apart(left: str, right: str) -> bool:
+        words = units_of(left), units_of(right)
+        encoder.learn(words)
+        ids = b"".join([encoder.units[u][3] for w in words for u in w])
+        return array.array("H", ids).tolist() == encoder.encode(left + right)
+
     first, last = FIRST_WHITE.search(chunk), LAST_WHITE.search(chunk)
-    if not first or first.start() >= last.start():
-        return None
-    a, b = first.start(), last.start()
-    while a < b:
-        window = chunk[: min(b, a + 32)]
-        if encoder.encode(window) == encoder.encode(window[:a]) + encoder.encode(window[a:]):
-            break
-        nxt = FIRST_WHITE.search(chunk, a + 1)
-        a = nxt.start() if nxt else b
-    while a < b:
-        window = chunk[max(a, b - 32) :]
-        cut = b - max(a, b - 32)
-        if encoder.encode(window) == encoder.encode(window[:cut]) + encoder.encode(window[cut:]):
-            break
+    a, b = (first.start(), last.start()) if first else (0, 0)
+    while a < b and not apart(chunk[:a], chunk[a : min(b, a + 24)]):
+        following = FIRST_WHITE.search(chunk, a + 1)
+        a = following.start() if following else b
+    while a < b and not apart(chunk[max(a, b - 24) : b], chunk[b:]):
         before = LAST_WHITE.search(chunk, 0, b)
         b = before.start() if before else a
     return (a, b) if a < b else None
@@ -154,11 +152,6 @@ class Shared:
         return [*runs, (None, "".join(own))]
 
 
-def render(tok, ids: list[int]) -> tuple[int, str, str, bytes]:
-    """Of a unit: how many ids, the ids in decimal, the text they decode to, and the ids in two bytes each."""
-    return len(ids), " ".join(map(str, ids)), tok.decode(ids, skip_special_tokens=False), array.array("H", ids).tobytes()
-
-
 def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shared: int = SHARED) -> DataFrame:
     """Per row of docs: id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (of the decoded text)."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -179,7 +172,7 @@ def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                 units = encoder.units
                 for r, w in zip(runs, words, strict=True):
                     if len(r) == 1:
-                        rows.append((next(numbers), *digests([units[u] for u in w[0]]), []))
+                        rows.append((next(numbers), *digests(list(map(units.__getitem__, w[0]))), []))
                         continue
                     parts = []
                     for (key, text), own in zip(r, w, strict=True):
@@ -217,9 +210,7 @@ def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     gathered = own.unionByName(reused).groupBy("row", "id").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = unit_encoder(path)
-        names = [encoder.tok.id_to_token(i) or "" for i in range(encoder.tok.get_vocab_size())]
-        decimal = [str(i) for i in range(len(names))]
+        names, decimal = signs(path)
         for batch in batches:
             rows = []
             for parts in batch.column(1).to_pylist():
@@ -233,8 +224,26 @@ def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
 
 def unit_encoder(path: str) -> UnitEncoder:
-    encoder = UnitEncoder(path, lambda ids: render(encoder.tok, ids))
-    return encoder
+    """Units as: how many ids, the ids in decimal, the text they decode to, and the ids in two bytes each."""
+    names, decimal = signs(path)
+
+    def render(ids: list[int]) -> tuple[int, str, str, bytes]:
+        return len(ids), " ".join([decimal[i] for i in ids]), " ".join([names[i] for i in ids]), array.array("H", ids).tobytes()
+
+    def combine(parts: list[tuple[int, str, str, bytes]]) -> tuple[int, str, str, bytes]:
+        if len(parts) == 2:
+            (n, d, t, i), (m, e, u, j) = parts
+            return n + m, f"{d} {e}", f"{t} {u}", i + j
+        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]), b"".join([p[3] for p in parts])
+
+    return UnitEncoder(path, render, combine)
+
+
+def signs(path: str) -> tuple[list[str], list[str]]:
+    """What each id decodes to, and its decimal."""
+    tok = tokenizer(path)
+    size = tok.get_vocab_size()
+    return [tok.decode([i], skip_special_tokens=False) for i in range(size)], [str(i) for i in range(size)]
 
 
 def sha(text: str) -> str:
@@ -242,4 +251,7 @@ def sha(text: str) -> str:
 
 
 def digests(units: list[tuple[int, str, str, bytes]]) -> tuple[int, str, str]:
-    return sum([u[0] for u in units]), sha(" ".join([u[1] for u in units if u[0]])), sha(" ".join([u[2] for u in units if u[0]]))
+    if not units:
+        return 0, sha(""), sha("")
+    sizes, ids, decoded, _ = zip(*units, strict=True)
+    return sum(sizes), sha(" ".join(ids)), sha(" ".join(decoded))

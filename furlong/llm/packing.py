@@ -186,7 +186,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col
     """Per piece: id, piece, start, length, ids_crc32, and the task that made it with the piece's rank among those of its length there."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(path, lambda ids: array.array("I", ids).tobytes())
+        encoder = UnitEncoder(path, lambda ids: array.array("I", ids).tobytes(), b"".join)
         part, seen, end = TaskContext.get().partitionId(), Counter(), array.array("I", [end_id]).tobytes()
         numbers = row_numbers()
         for batch in batches:

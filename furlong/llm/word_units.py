@@ -1,8 +1,8 @@
 """Exact encoding under a tokenizer that drops white space, by memoised units.
 
 Such a tokenizer never forms a token across white space, so the ids of a text are those of its
-white-space-separated units in order. Each worker process remembers the units it has met (at most MEMO of them);
-a unit met for the first time is cut into words, and the library's model encodes each unknown word once.
+white-space-separated units in order. Each worker process remembers the units it has met (a bounded number);
+a unit met for the first time is cut into words, and the library's model encodes each unknown word.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import regex
 
 from .common import tokenizer
 
-MEMO = 250_000
+MEMO = 200_000
 
 # The word pattern of the tokenizer, and white space as its normaliser sees it.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -35,45 +35,52 @@ PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
 
 
-def words_of(unit: str) -> list[str]:
-    """The words of a plain unit, in lower case."""
-    low = unit.lower()
-    if low.isalpha():
-        return [low]
-    if low[-1] in ",.;:!?" and low[:-1].isalpha():
-        return [low[:-1], low[-1]]
-    return WORD.findall(low)
-
-
 class UnitEncoder:
-    """render(ids) of units, remembered."""
+    """What a text's units render to, remembered. render makes it of the ids of a word, combine of those of several words.
 
-    def __init__(self, path: str, render: Callable[[list[int]], object]):
-        self.tok, self.render = tokenizer(path), render
-        self.words: dict[str, list[int]] = {}
+    Two generations are kept, of at most MEMO units and words each: what is still in use moves to the younger one."""
+
+    def __init__(self, path: str, render: Callable[[list[int]], object], combine: Callable[[list], object]):
+        self.tok, self.render, self.combine = tokenizer(path), render, combine
+        self.cut = self.tok.model.tokenize
+        self.words: dict[str, object] = {}
         self.units: dict[str, object] = {}
+        self.old_words: dict[str, object] = {}
+        self.old_units: dict[str, object] = {}
 
     def encode(self, text: str) -> list[int]:
+        """The ids by the library."""
         return self.tok.encode(text, add_special_tokens=False).ids
 
+    def word(self, word: str) -> object:
+        """A word's rendering: the library's model applied to the signs that stand for its bytes."""
+        found = self.words.get(word)
+        if found is None:
+            found = self.old_words.get(word)
+            if found is None:
+                signs = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+                found = self.render([t.id for t in self.cut(signs)])
+            self.words[word] = found
+        return found
+
     def learn(self, unit_lists: Iterable[list[str]]) -> None:
         """Make sure that all units of these lists are in self.units."""
-        need = set().union(*unit_lists) - self.units.keys()
-        if len(self.units) + len(need) > MEMO:
-            self.units.clear()
-            need = set().union(*unit_lists)
-        plain = {u: words_of(u) for u in need if PLAIN.fullmatch(u) and "<|" not in u}
-        self.learn_words(set().union(*plain.values()) if plain else set())
-        words, render = self.words, self.render
-        for unit in need:
-            found = plain.get(unit)
-            self.units[unit] = render(self.encode(unit) if found is None else words[found[0]] if len(found) == 1 else [i for w in found for i in words[w]])
-
-    def learn_words(self, words: set[str]) -> None:
-        new = words - self.words.keys()
-        if len(self.words) + len(new) > MEMO:
-            self.words.clear()
-            new = words
-        cut = self.tok.model.tokenize
-        for word in new:
-            self.words[word] = [t.id for t in cut(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS))]
+        wanted = set().union(*unit_lists)
+        if len(self.units) + len(wanted) > MEMO:
+            self.units, self.old_units = {}, self.units
+        if len(self.words) > MEMO:
+            self.words, self.old_words = {}, self.words
+        units, old, word, combine = self.units, self.old_units, self.word, self.combine
+        for unit in [u for u in wanted if u not in units]:
+            found = old.get(unit)
+            if found is None:
+                low = unit.lower()
+                if not (unit.isascii() or PLAIN.fullmatch(unit)) or "<|" in unit:
+                    found = self.render(self.encode(unit))
+                elif low.isalpha():
+                    found = word(low)
+                elif low[-1] in ",.;:!?" and low[:-1].isalpha():
+                    found = combine([word(low[:-1]), word(low[-1])])
+                else:
+                    found = combine([word(w) for w in WORD.findall(low)])
+            units[unit] = found
