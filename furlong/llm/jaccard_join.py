@@ -28,6 +28,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import row_numbers, stage
 from .components import components
@@ -363,11 +364,9 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return joined.select("a", "b", "x", "y").mapInArrow(work, "a bigint, b bigint")
 
 
-def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
-    """Per row of docs: id, n_shingles, component_id (the least id that links reach)."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sizes, sketch = measured(docs, k, (num, den), id_type)
+def labelled_rows(docs: DataFrame, k: int, num: int, den: int, bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
+    """(row, id, n_shingles, root) of every row of docs (id, text): rows with one root are one component."""
+    sizes, sketch = measured(docs, k, (num, den), docs.schema["id"].dataType.simpleString())
     members = memberships(docs, k, (num, den), sketch, bucket, hot)
     sets = sets_of(docs, k, members.select("key").distinct())
     votes = members.where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"))
@@ -378,8 +377,31 @@ def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: s
     left = stage(labelled.join(split, "signature"), "left")
     x, y = left.alias("x"), left.alias("y")
     open_pairs = x.join(y, F.expr("x.signature = y.signature and x.key < y.key and x.root <> y.root and (x.probe or y.probe)")).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    more = stage(verified(open_pairs.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), sets, num, den), "links")
+    more = stage(verified(open_pairs.join(first, ["a", "b"], "left_anti"), sets, num, den), "links")
     roots = components(links.unionByName(more))
-    rooted = sizes.join(roots, sizes["key"] == F.col("node"), "left").select("row", "id", "n_shingles", F.when(F.col("key").isNull(), F.concat(F.lit("r"), F.col("row").cast("string"))).otherwise(F.coalesce("root", "key").cast("string")).alias("root"))
+    root = F.when(F.col("key").isNull(), F.concat(F.lit("r"), F.col("row").cast("string"))).otherwise(F.coalesce("root", "key").cast("string"))
+    return sizes.join(roots, sizes["key"] == F.col("node"), "left").select("row", "id", "n_shingles", root.alias("root"))
+
+
+def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
+    """Per row of docs: id, n_shingles, component_id (the least id that links reach)."""
+    rooted = labelled_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), k, num, den, bucket, hot)
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     return rooted.join(least, "root").select(F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, that are first of their component: those of the least id (null last), one of them if rows are repeated.
+
+    docs is read more than once and must give its rows in one order, as a table does."""
+    rooted = labelled_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), k, num, den)
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")).select(F.col("first.row").alias("furlong_row"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = row_numbers()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([next(numbers) for _ in range(len(batch))], pa.int64())], [*batch.schema.names, "furlong_row"])
+
+    numbered = docs.mapInArrow(number, StructType([*docs.schema.fields, StructField("furlong_row", LongType())]))
+    return numbered.join(first, "furlong_row", "left_semi").select(*docs.columns)
+
