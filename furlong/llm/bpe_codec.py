@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import least_frequency, row_numbers, stage, tokenizer
+from .common import least_frequency, row_numbers, small_batches, stage, tokenizer
 from .word_units import WHITE, UnitEncoder, units_of
 
 #: Mean bytes of a chunk (the upper eight of the hash's 16 bits are zero at a cut), least and most bytes, and the bound of the broadcast hashes.
@@ -154,6 +154,7 @@ class Shared:
 
 def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shared: int = SHARED) -> DataFrame:
     """Per row of docs: id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (of the decoded text)."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     hashes = docs.sparkSession.sparkContext.broadcast(shared_hashes(docs, shared))

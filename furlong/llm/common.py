@@ -9,6 +9,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,12 @@ def drop(df: DataFrame) -> None:
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold a thousand rows instead of ten thousand, as whole texts are long; a session that has set another number keeps it."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def row_numbers() -> Iterator[int]:
     """Numbers that no other row of the job gets: the partition in the upper bits, a counter in the lower 36.
 
@@ -83,3 +91,35 @@ def tokenizer(path: str, cache: dict = {}):  # noqa: B006  one load for each wor
         loaded.no_padding()
         cache[path] = loaded
     return cache[path]
+
+
+def in_blocks(rows: DataFrame, block: int) -> DataFrame:
+    """The rows of buckets with two classes or more, dealt out to pairs (i, j) of their blocks; home: the block of the row."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / block).alias("n_blocks"))
+    home = F.pmod(F.xxhash64("key"), F.col("n_blocks")).alias("home")
+    dealt = rows.join(sizes, "bucket").select(*rows.columns, home, F.explode(F.sequence(F.lit(0), F.col("n_blocks").cast("int") - 1)).alias("other"))
+    return dealt.withColumn("i", F.least("home", "other")).withColumn("j", F.greatest("home", "other")).drop("other")
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (bucket, i, j) as one batch for each such group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        ids = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("bucket", "i", "j")], 1)
+        if not len(ids):
+            continue
+        cuts = [0, *(np.flatnonzero((np.diff(ids, axis=0) != 0).any(1)) + 1).tolist(), len(ids)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            this = tuple(ids[a])
+            if this != last and held:
+                yield joined(held)
+                held = []
+            last = this
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield joined(held)
+
+
+def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]

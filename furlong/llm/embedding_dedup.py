@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_numbers, stage
+from .common import in_blocks, row_numbers, runs, stage
 from .components import components
 
 #: Chance that a pair exactly at the threshold meets in no band, standard errors of the confidence bound, and rows of a block.
@@ -121,38 +121,6 @@ def coded(classes: DataFrame, dim: int, bits: int, tables: int) -> DataFrame:
     return classes.select("key", "weight", "unit").mapInArrow(work, CODED)
 
 
-def in_blocks(rows: DataFrame, block: int) -> DataFrame:
-    """The rows of buckets with two classes or more, dealt out to pairs (i, j) of their blocks; home: the block of the row."""
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / block).alias("n_blocks"))
-    home = F.pmod(F.xxhash64("key"), F.col("n_blocks")).alias("home")
-    dealt = rows.join(sizes, "bucket").select(*rows.columns, home, F.explode(F.sequence(F.lit(0), F.col("n_blocks").cast("int") - 1)).alias("other"))
-    return dealt.withColumn("i", F.least("home", "other")).withColumn("j", F.greatest("home", "other")).drop("other")
-
-
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (bucket, i, j) as one batch for each such group."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        ids = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("bucket", "i", "j")], 1)
-        if not len(ids):
-            continue
-        cuts = [0, *(np.flatnonzero((np.diff(ids, axis=0) != 0).any(1)) + 1).tolist(), len(ids)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            this = tuple(ids[a])
-            if this != last and held:
-                yield joined(held)
-                held = []
-            last = this
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield joined(held)
-
-
-def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 class Group:
     """The rows of two blocks of a bucket (or of one), and which of their pairs are looked at here."""
 

@@ -9,9 +9,9 @@ the cheapest by the frequencies of all segment subsets (a count sketch of fixed
 threshold of 1 costs the neighbourhood of one deletion. That neighbourhood is indexed for sets below DELETION_SIZE; larger
 sets have enough segments without it.
 
-Candidates that share a subset are verified exactly on their whole sets. Equal sets are one class from the start. In each
-subset's bucket every member is compared with one leader; what these links leave unconnected is then compared pair by pair,
-so no link between two components goes unseen. Shingles are 64-bit hashes. Subsets that the sketch calls
+Candidates that share a subset are verified exactly on their whole sets. Equal sets are one class from the start. Every class is
+first compared with one leader, of those that share most subsets with others; where that leaves two classes of a subset apart, parity
+sketches give a lower bound of their difference and all pairs within it are compared, so no link between components goes unseen. Shingles are 64-bit hashes. Subsets that the sketch calls
 hot are grouped by Spark's joins instead of in memory.
 
 Null and empty texts have an empty set (n_shingles 0) and are linked with nothing. Texts with fewer than k words are one
@@ -21,6 +21,7 @@ shingle. Null ids and repeated rows are kept; a null id never becomes a componen
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import row_numbers, stage
+from .common import in_blocks, row_numbers, runs, small_batches, stage
 from .components import components
 
 SKETCH_BITS, SLABS, BLOOM_BITS = 18, 16, 24
@@ -38,7 +39,9 @@ DELETION_SIZE = 64
 #: Entries that a bucket of subsets holds on average, and the sketch count from which a subset is hot.
 BUCKET, HOT = 400_000, 2_000_000
 #: Entries that a task gathers before it sends them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
+#: Rows of a block of a subset's members.
+BLOCK = 1024
 
 _rng = np.random.default_rng(3)
 BYTE_KEYS = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
@@ -103,17 +106,20 @@ class Scheme:
         return most + most // 8 + (most > 1)
 
 
+@lru_cache(4096)
 def segment_ids(band: int, m: int) -> np.ndarray:
     return mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32))
 
 
-def subsets(hashes: np.ndarray, band: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each segment its signature and size; the segment and the signature after its deletion of each shingle."""
+def subsets(hashes: np.ndarray, band: int, m: int, deletions: bool) -> tuple:
+    """For each segment its signature and size; and, if asked for, the segment of each shingle and the signature after its deletion."""
     segment = ((hashes >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # ascends with the hashes
-    at = np.searchsorted(segment, np.arange(m + 1))
+    at = np.searchsorted(segment, np.arange(m + 1, dtype=np.uint64))
     own = mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own)])
     totals, ids = sums[at[1:]] - sums[at[:-1]], segment_ids(band, m)
+    if not deletions:
+        return mix(totals + ids), np.diff(at), None, None
     segment = segment.astype(np.int64)
     return mix(totals + ids), np.diff(at), segment, mix(totals[segment] - own + ids[segment])
 
@@ -125,27 +131,67 @@ def slot(signatures: np.ndarray) -> np.ndarray:
 def indexed(hashes: np.ndarray, scheme: Scheme) -> np.ndarray:
     """What a set indexes as the larger one: its segments in the scheme of its band, and their deletions if it is small."""
     band = scheme.band(len(hashes))
-    signatures, _, _, deleted = subsets(hashes, band, scheme.segments(band))
-    return np.concatenate([signatures, deleted]) if len(hashes) < DELETION_SIZE else signatures
+    signatures, _, _, deleted = subsets(hashes, band, scheme.segments(band), len(hashes) < DELETION_SIZE)
+    return signatures if deleted is None else np.concatenate([signatures, deleted])
 
 
-def chosen(hashes: np.ndarray, band: int, scheme: Scheme, sketch: np.ndarray) -> np.ndarray:
-    """The signatures that a set probes as the smaller one in the scheme of a band; none if no set there can be linked with it."""
-    size = len(hashes)
+def probed(made: tuple, size: int, band: int, scheme: Scheme, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The segments that a set probes as they are, and those whose deletions it probes, as the smaller set in the scheme of a band.
+
+    Both are empty if no set of that band can be linked with it. made: its subsets there."""
+    none = np.zeros(0, np.int64)
     largest = min(scheme.bounds[band + 1] - 1, size * scheme.den // scheme.num)
     if largest < scheme.bounds[band]:
-        return np.zeros(0, np.uint64)
+        return none, none
     units = scheme.differing(size + largest) + 1
-    signatures, sizes, segment, deleted = subsets(hashes, band, scheme.segments(band))
+    signatures, sizes, segment, deleted = made
     cost = sketch[slot(signatures)] + np.where(sizes == 0, 1 << 40, 0)
-    if scheme.bounds[band + 1] > DELETION_SIZE:  # larger partners don't index their deletions
-        return signatures[np.argpartition(cost, units - 1)[:units]]
+    if deleted is None or scheme.bounds[band + 1] > DELETION_SIZE:  # larger partners don't index their deletions
+        return np.argpartition(cost, units - 1)[:units], none
     more = np.bincount(segment, sketch[slot(deleted)] + 1, len(signatures)).astype(np.int64)  # of a second unit
     more[sizes == 0] = 1 << 41
     steps = sorted([(c, 0, i) for i, c in enumerate(cost.tolist())] + [(max(c, d), 1, i) for i, (c, d) in enumerate(zip(cost.tolist(), more.tolist(), strict=True))])[:units]
-    second = np.zeros(len(signatures), bool)
-    second[[i for _, e, i in steps if e]] = True
-    return np.concatenate([signatures[[i for _, e, i in steps if not e]], deleted[second[segment]]])
+    return np.array([i for _, e, i in steps if not e], np.int64), np.array([i for _, e, i in steps if e], np.int64)
+
+
+def chosen(hashes: np.ndarray, band: int, scheme: Scheme, sketch: np.ndarray) -> np.ndarray:
+    """The signatures that a set probes as the smaller one in the scheme of a band."""
+    made = subsets(hashes, band, scheme.segments(band), len(hashes) < DELETION_SIZE)
+    exact, near = probed(made, len(hashes), band, scheme, sketch)
+    return made[0][exact] if not len(near) else np.concatenate([made[0][exact], made[3][np.isin(made[2], near)]])
+
+
+def entries_of(hashes: np.ndarray, scheme: Scheme, sketch: np.ndarray) -> np.ndarray:
+    """All signatures of a set, the last bit telling probes: what it indexes in its own band's scheme, and its probes there and in the next."""
+    one, size = np.uint64(1), len(hashes)
+    band = scheme.band(size)
+    scheme.band(scheme.bounds[band + 1])
+    made = subsets(hashes, band, scheme.segments(band), size < DELETION_SIZE)
+    exact, near = probed(made, size, band, scheme, sketch)
+    own = made[0] & ~one
+    own[exact] |= one
+    out = [own, chosen(hashes, band + 1, scheme, sketch) | one]
+    if made[3] is not None:
+        deleted = made[3] & ~one
+        deleted[np.isin(made[2], near)] |= one
+        out.append(deleted)
+    return np.concatenate(out)
+
+
+def odd_sketch(hashes: np.ndarray) -> bytes:
+    """Bit i is the parity of how many hashes fall on it. Two sets differ in at least as many hashes as their sketches differ in bits."""
+    size = 1 << min(13, max(6, (2 * len(hashes) - 1).bit_length()))
+    bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, the longer ones folded to the length of the shortest."""
+    words = min(len(s) for s in sketches) // 8
+    out = np.empty((len(sketches), words), np.uint64)
+    for i, s in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), 0)
+    return out
 
 
 def class_of(hashes: np.ndarray) -> int:
@@ -177,7 +223,7 @@ def assembled(slabs: dict[int, np.ndarray], size: int, kind: np.dtype) -> np.nda
     return np.concatenate([slabs.get(i, np.zeros(size // SLABS, kind)) for i in range(SLABS)])
 
 
-def measured(docs: DataFrame, k: int, scheme: tuple[int, int], id_type: str) -> tuple[DataFrame, np.ndarray]:
+def measured(docs: DataFrame, id_at: int, text_at: int, k: int, scheme: tuple[int, int]) -> tuple[DataFrame, np.ndarray]:
     """(row, id, n_shingles, key) of every document, and the sketch of all that their sets index."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +231,7 @@ def measured(docs: DataFrame, k: int, scheme: tuple[int, int], id_type: str) ->
         last = None
         for batch in batches:
             rows, sizes, keys, signatures = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(text_at).to_pylist():
                 hashes = shingles(text, k)
                 rows.append(next(numbers))
                 sizes.append(len(hashes))
@@ -194,14 +240,14 @@ def measured(docs: DataFrame, k: int, scheme: tuple[int, int], id_type: str) ->
                     signatures.append(slot(indexed(hashes, plan)))
             if signatures:
                 sketch += np.bincount(np.concatenate(signatures), minlength=len(sketch))
-            last = batch.schema.field(0).type
-            yield measured_batch(rows, batch.column(0), sizes, keys, [None] * len(rows), [None] * len(rows))
+            last = batch.schema.field(id_at).type
+            yield measured_batch(rows, batch.column(id_at), sizes, keys, [None] * len(rows), [None] * len(rows))
         if last is not None:
             for part in slab_rows(sketch):
                 n = len(part)
                 yield measured_batch([None] * n, pa.nulls(n, last), [None] * n, [None] * n, part.column(0), part.column(1))
 
-    both = stage(docs.mapInArrow(work, f"row bigint, id {id_type}, n_shingles bigint, key bigint, slab int, data binary"), "measured")
+    both = stage(docs.mapInArrow(work, f"row bigint, id {docs.schema[id_at].dataType.simpleString()}, n_shingles bigint, key bigint, slab int, data binary"), "measured")
     sketch = assembled(summed_slabs(both.where("slab is not null").select("slab", "data"), np.dtype(np.int64), False), 1 << SKETCH_BITS, np.int64)
     return both.where("slab is null").select("row", "id", "n_shingles", "key"), sketch
 
@@ -211,7 +257,7 @@ def measured_batch(rows, ids, sizes, keys, slabs, data) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["row", "id", "n_shingles", "key", "slab", "data"])
 
 
-def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.ndarray, bucket: int, hot: int) -> DataFrame:
+def memberships(docs: DataFrame, text_at: int, k: int, scheme: tuple[int, int], sketch: np.ndarray, bucket: int, hot: int) -> DataFrame:
     """(signature, key, probe, leader) of all sets in subsets that two classes share and one of them probes; leader: the least key there.
 
     Entries travel as blocks, one for each bucket that a task has entries of: pairs of a signature, whose last bit says whether it is a
@@ -244,18 +290,14 @@ def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.nda
                 yield block_batch([int(part[order[a]]) for a, _ in spans], [entries[a:b].tobytes() for a, b in spans], [None] * len(spans), [None] * len(spans))
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(text_at).to_pylist():
                 hashes = shingles(text, k)
                 key = class_of(hashes) if len(hashes) else None
                 if key is None or key in seen:
                     continue
                 if len(seen) < 500_000:
                     seen.add(key)
-                band = plan.band(len(hashes))
-                plan.band(plan.bounds[band + 1])
-                probes = np.unique(np.concatenate([chosen(hashes, band, plan, sketch), chosen(hashes, band + 1, plan, sketch)]) | one)
-                rest = np.unique(indexed(hashes, plan) | one)
-                signatures.append(np.concatenate([probes, rest[~np.isin(rest, probes)] & ~one]))
+                signatures.append(entries_of(hashes, plan, sketch))
                 keys.append(key)
                 n += len(signatures[-1])
                 if n >= FLUSH:
@@ -282,7 +324,7 @@ def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.nda
         if blocks:
             yield shared_subsets(blocks)
 
-    sent = docs.select("text").mapInArrow(emit, "bucket bigint, block binary, signature bigint, key bigint")
+    sent = docs.mapInArrow(emit, "bucket bigint, block binary, signature bigint, key bigint")
     dealt = sent.repartition(n_buckets, F.coalesce("bucket", F.xxhash64("signature", "key"))).sortWithinPartitions("bucket")
     found = stage(dealt.mapInArrow(join, "signature bigint, key bigint, probe boolean, leader bigint"), "members")
     hot_rows = found.where("leader is null").drop("leader")
@@ -316,76 +358,113 @@ def shared_subsets(blocks: list[np.ndarray]) -> pa.RecordBatch:
     return member_batch(signature[inside], key[inside], leader[inside])
 
 
-def sets_of(docs: DataFrame, k: int, keys: DataFrame) -> DataFrame:
-    """(key, hashes) of the classes in keys and few others: a Bloom filter of fixed size spares the rest."""
+def sets_of(docs: DataFrame, text_at: int, k: int, rows: DataFrame) -> DataFrame:
+    """(key, hashes, size, sketch) of the rows of docs that rows (row, key) names, and of few others: a Bloom filter of fixed size spares the rest."""
 
-    def bits(key: np.ndarray) -> np.ndarray:
-        h = mix(key.view(np.uint64))
-        return np.concatenate([h >> np.uint64(64 - BLOOM_BITS), (h >> np.uint64(8)) & np.uint64((1 << BLOOM_BITS) - 1)]).astype(np.int64)
+    def bits(row: np.ndarray) -> np.ndarray:
+        h = mix(row.view(np.uint64))
+        return np.stack([h >> np.uint64(64 - BLOOM_BITS), (h >> np.uint64(8)) & np.uint64((1 << BLOOM_BITS) - 1)]).astype(np.int64)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = np.zeros(1 << BLOOM_BITS, bool)
         for batch in batches:
-            bloom[bits(batch.column(0).to_numpy())] = True
+            bloom[bits(batch.column(0).to_numpy()).ravel()] = True
         yield from slab_rows(np.packbits(bloom))
 
-    packed = assembled(summed_slabs(keys.mapInArrow(fill, "slab int, data binary"), np.dtype(np.uint8), True), 1 << (BLOOM_BITS - 3), np.uint8)
+    packed = assembled(summed_slabs(rows.select("row").mapInArrow(fill, "slab int, data binary"), np.dtype(np.uint8), True), 1 << (BLOOM_BITS - 3), np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, seen = np.unpackbits(shared.value), set()
+        bloom, numbers = np.unpackbits(shared.value), row_numbers()
         for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
-                hashes = shingles(text, k)
-                if len(hashes) and (key := class_of(hashes)) not in seen and bloom[bits(np.array([key]))].all():
-                    if len(seen) < 500_000:
-                        seen.add(key)
-                    found.append((key, hashes.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], ["key", "hashes"])
+            row = np.fromiter(numbers, np.int64, len(batch))
+            some = bloom[bits(row)].all(0)
+            texts = batch.column(text_at).filter(pa.array(some.astype(bool))).to_pylist()
+            found = [(class_of(h), h.tobytes(), len(h), odd_sketch(h)) for h in (shingles(t, k) for t in texts) if len(h)]
+            columns = list(zip(*found, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)], ["key", "hashes", "size", "sketch"])
 
-    sets = docs.select("text").mapInArrow(work, "key bigint, hashes binary")
-    return stage(sets.groupBy("key").agg(F.any_value("hashes").alias("hashes")), "sets")
+    sets = docs.mapInArrow(work, "key bigint, hashes binary, size bigint, sketch binary")
+    return stage(sets.groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("hashes", "size", "sketch")]), "sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough: den * intersection >= num * union."""
+def compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, linked) of pairs (a, b): exactly whether den * intersection >= num * union of their sets."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
-
-    joined = pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(work, "a bigint, b bigint")
-
-
-def labelled_rows(docs: DataFrame, k: int, num: int, den: int, bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
-    """(row, id, n_shingles, root) of every row of docs (id, text): rows with one root are one component."""
-    sizes, sketch = measured(docs, k, (num, den), docs.schema["id"].dataType.simpleString())
-    members = memberships(docs, k, (num, den), sketch, bucket, hot)
-    sets = sets_of(docs, k, members.select("key").distinct())
-    votes = members.where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"))
-    first = stage(votes.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader")).select(F.col("leader").alias("a"), F.col("key").alias("b")), "pairs")
-    links = stage(verified(first, sets, num, den), "links")
-    labelled = members.join(components(links), members["key"] == F.col("node"), "left").select("signature", "key", "probe", F.coalesce("root", "key").alias("root"))
-    split = labelled.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("signature")
-    left = stage(labelled.join(split, "signature"), "left")
-    x, y = left.alias("x"), left.alias("y")
-    open_pairs = x.join(y, F.expr("x.signature = y.signature and x.key < y.key and x.root <> y.root and (x.probe or y.probe)")).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    more = stage(verified(open_pairs.join(first, ["a", "b"], "left_anti"), sets, num, den), "links")
+            linked = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = np.concatenate([x, y])
+                both.sort(kind="stable")
+                shared = int((both[1:] == both[:-1]).sum())
+                whole = len(both) - shared
+                linked.append(den * shared >= num * whole)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+
+    joined = pairs.join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b").join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a")
+    return stage(joined.select("a", "b", "x", "y").mapInArrow(work, "a bigint, b bigint, linked boolean"), "compared")
+
+
+def close_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Pairs (a, b) of classes of different roots that share a subset, one of them probing it, and that their sketches do not rule out.
+
+    Only subsets with two roots are looked at, in blocks of bounded size whose pairs are dealt out anew; what leaves them are the pairs that
+    must be compared, nearly all of them links."""
+    rooted = members.select(F.col("signature").alias("bucket"), "key", "probe").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    split = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    rows = stage(rooted.join(split, "bucket").join(sets.select("key", "size", "sketch"), "key"), "split")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in runs(batches):
+            get = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
+            key, root, size, home = (get(c).to_numpy() for c in ("key", "root", "size", "home"))
+            probe, sketch = get("probe").to_numpy(zero_copy_only=False), folded(get("sketch").to_pylist())
+            crossing, a, b = get("i")[0].as_py() != get("j")[0].as_py(), [], []
+            for i in range(len(key) - 1):
+                total = size[i] + size[i + 1 :]
+                most = total * (den - num) // (den + num)
+                fits = (root[i + 1 :] != root[i]) & (probe[i + 1 :] | probe[i]) & (np.abs(size[i + 1 :] - size[i]) <= most)
+                if crossing:
+                    fits &= home[i + 1 :] != home[i]
+                at = np.flatnonzero(fits)
+                at = at[np.bitwise_count(sketch[i + 1 + at] ^ sketch[i]).sum(1) <= most[at]]
+                a.append(np.minimum(key[i], key[i + 1 + at]))
+                b.append(np.maximum(key[i], key[i + 1 + at]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    by = ("bucket", "i", "j")
+    return in_blocks(rows, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(work, "a bigint, b bigint").distinct()
+
+
+def labelled_rows(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, bucket: int = BUCKET, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """(row, id, n_shingles, root) of every row of docs: rows with one root are one component.
+
+    docs is read three times; rows are told apart by their place, so each reading has all its columns and thereby the same order."""
+    small_batches(docs.sparkSession)
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string")) if docs.schema[text_col].dataType.simpleString() != "string" else docs
+    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
+    sizes, sketch = measured(docs, id_at, text_at, k, (num, den))
+    members = memberships(docs, text_at, k, (num, den), sketch, bucket, hot)
+    wanted = sizes.join(members.select("key").distinct(), "key").groupBy("key").agg(F.min("row").alias("row"))
+    sets = sets_of(docs, text_at, k, wanted)
+    degree = members.groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = members.select("signature", "key").join(degree, "key")
+    heads = ranked.groupBy("signature").agg(F.max(F.struct("degree", "key")).alias("head")).select("signature", F.col("head.key").alias("leader"))
+    votes = members.select("signature", "key").join(heads, "signature").where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"))
+    first = compared(votes.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader")).select(F.col("leader").alias("a"), F.col("key").alias("b")), sets, num, den)
+    links = first.where("linked").select("a", "b")
+    more = compared(close_pairs(members, components(links), sets, num, den, block), sets, num, den).where("linked").select("a", "b")
     roots = components(links.unionByName(more))
     root = F.when(F.col("key").isNull(), F.concat(F.lit("r"), F.col("row").cast("string"))).otherwise(F.coalesce("root", "key").cast("string"))
     return sizes.join(roots, sizes["key"] == F.col("node"), "left").select("row", "id", "n_shingles", root.alias("root"))
 
 
-def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
+def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """Per row of docs: id, n_shingles, component_id (the least id that links reach)."""
-    rooted = labelled_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), k, num, den, bucket, hot)
+    rooted = labelled_rows(docs, k, num, den, id_col, text_col, bucket, hot, block)
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     return rooted.join(least, "root").select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
@@ -393,8 +472,8 @@ def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: s
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that are first of their component: those of the least id (null last), one of them if rows are repeated.
 
-    docs is read more than once and must give its rows in one order, as a table does."""
-    rooted = labelled_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), k, num, den)
+    docs is read several times, each time whole, and must give its rows in one order then, as a table or a deterministic plan does."""
+    rooted = labelled_rows(docs, k, num, den, id_col, text_col)
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")).select(F.col("first.row").alias("furlong_row"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 BITS, ORDERS, SLABS = 16, (2, 3, 4), 16
 BUCKETS = 1 << BITS
 MAX_LANGUAGES = 1000
@@ -147,6 +149,7 @@ class Model:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """The model of all rows whose text and language are not null."""
+    small_batches(docs.sparkSession)
     train = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).dropna()
     sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:

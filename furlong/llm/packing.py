@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_numbers, stage
+from .common import row_numbers, small_batches, stage
 from .word_units import UnitEncoder, units_of
 
 MAX_NODES = 20_000
@@ -207,6 +207,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col
                 ["id", "row", "piece", "start", "length", "ids_crc32", "part", "local"],
             )
 
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, f"id {id_type}, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part bigint, local bigint")
 

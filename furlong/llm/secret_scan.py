@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 # The rules and the order of their kinds.
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -146,6 +148,7 @@ def scan(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col:
     """Per row: id, and spans array<struct<kind:string, start:long, end:long>> sorted by start, then kind.
 
     Rule spans all stay. A Markov span is a candidate run that overlaps no rule span."""
+    small_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(ratios)
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -206,6 +209,7 @@ def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", mark: st
     """docs with every span replaced by a mark, all other columns and all rows kept; texts without spans (null included) are unchanged.
 
     Overlapping spans become one mark."""
+    small_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(ratios)
     at = docs.columns.index(text_col)
 
