@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import in_blocks, row_numbers, runs, small_batches, stage
+from .common import drop, in_blocks, row_numbers, runs, small_batches, stage
 from .components import components
 
-SKETCH_BITS, SLABS, BLOOM_BITS = 18, 16, 24
+SKETCH_BITS, SLABS, BLOOM_BITS = 18, 256, 24
 DELETION_SIZE = 64
 #: Entries that a bucket of subsets holds on average, and the sketch count from which a subset is hot.
 BUCKET, HOT = 400_000, 2_000_000
@@ -262,7 +262,7 @@ def memberships(docs: DataFrame, text_at: int, k: int, scheme: tuple[int, int],
 
     Entries travel as blocks, one for each bucket that a task has entries of: pairs of a signature, whose last bit says whether it is a
     probe, and a key."""
-    n_buckets = min(1 << 16, max(1, int(sketch.sum()) * 2 // bucket))
+    n_buckets = min(1 << 24, max(1, int(sketch.sum()) * 2 // bucket))
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     one = np.uint64(1)
 
@@ -281,7 +281,7 @@ def memberships(docs: DataFrame, text_at: int, k: int, scheme: tuple[int, int],
                 m = int(is_hot.sum())
                 yield block_batch([None] * m, [None] * m, signature[is_hot].view(np.int64), key[is_hot])
                 signature, key = signature[~is_hot], key[~is_hot]
-            part = (((signature >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.uint16)
+            part = (((signature >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.uint16 if n_buckets <= 1 << 16 else np.uint32)
             order = np.argsort(part, kind="stable")
             entries = np.stack([signature[order].view(np.int64), key[order]], 1)
             cuts = np.flatnonzero(np.diff(part[order], prepend=part[order][:1] + 1)).tolist() + [len(order)]
@@ -325,11 +325,13 @@ def memberships(docs: DataFrame, text_at: int, k: int, scheme: tuple[int, int],
             yield shared_subsets(blocks)
 
     sent = docs.mapInArrow(emit, "bucket bigint, block binary, signature bigint, key bigint")
-    dealt = sent.repartition(n_buckets, F.coalesce("bucket", F.xxhash64("signature", "key"))).sortWithinPartitions("bucket")
+    dealt = sent.repartition(min(n_buckets, 100_000), F.coalesce("bucket", F.xxhash64("signature", "key"))).sortWithinPartitions("bucket")
     found = stage(dealt.mapInArrow(join, "signature bigint, key bigint, probe boolean, leader bigint"), "members")
     hot_rows = found.where("leader is null").drop("leader")
     heads = hot_rows.groupBy("signature").agg(F.min("key").alias("leader"), F.max("key").alias("last"), F.max("probe").alias("probed")).where("probed and leader < last").select("signature", "leader")
-    return found.where("leader is not null").unionByName(hot_rows.join(heads, "signature").distinct())
+    members = found.where("leader is not null").unionByName(hot_rows.join(heads, "signature").distinct())
+    members.staged_path = found.staged_path
+    return members
 
 
 def block_batch(buckets: list, blocks: list, signatures, keys) -> pa.RecordBatch:
@@ -436,7 +438,9 @@ def close_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int,
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     by = ("bucket", "i", "j")
-    return in_blocks(rows, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(work, "a bigint, b bigint").distinct()
+    pairs = in_blocks(rows, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(work, "a bigint, b bigint").distinct()
+    pairs.staged_path = rows.staged_path
+    return pairs
 
 
 def labelled_rows(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, bucket: int = BUCKET, hot: int = HOT, block: int = BLOCK) -> DataFrame:
@@ -456,8 +460,11 @@ def labelled_rows(docs: DataFrame, k: int, num: int, den: int, id_col: str, text
     votes = members.select("signature", "key").join(heads, "signature").where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"))
     first = compared(votes.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader")).select(F.col("leader").alias("a"), F.col("key").alias("b")), sets, num, den)
     links = first.where("linked").select("a", "b")
-    more = compared(close_pairs(members, components(links), sets, num, den, block), sets, num, den).where("linked").select("a", "b")
-    roots = components(links.unionByName(more))
+    pairs = close_pairs(members, components(links), sets, num, den, block)
+    more = compared(pairs, sets, num, den)
+    for done in (pairs, members, sets):
+        drop(done)
+    roots = components(links.unionByName(more.where("linked").select("a", "b")))
     root = F.when(F.col("key").isNull(), F.concat(F.lit("r"), F.col("row").cast("string"))).otherwise(F.coalesce("root", "key").cast("string"))
     return sizes.join(roots, sizes["key"] == F.col("node"), "left").select("row", "id", "n_shingles", root.alias("root"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-BITS, ORDERS, SLABS = 16, (2, 3, 4), 16
+BITS, ORDERS, SLABS = 16, (2, 3, 4), 128
 BUCKETS = 1 << BITS
 MAX_LANGUAGES = 1000
 SMOOTHING = 0.5

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import least_frequency, row_numbers, stage, tokenizer
+from .common import least_frequency, row_numbers, small_batches, stage, tokenizer
 
 #: Bound of the broadcast table, in pre-tokens.
 HOT_PIECES = 150_000
@@ -42,7 +42,6 @@ class PieceSplitter:
         self.tok = tokenizer(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.memo: dict[str, list[str]] = {}
 
     def pieces(self, text: str) -> list[str]:
         if EXOTIC.search(text):
@@ -56,24 +55,9 @@ class PieceSplitter:
             return len(cut) - 1, cut
         return 0, [text]
 
-    def units(self, part: str) -> Counter | None:
-        """Frequencies of the units of a text that may be cut at its spaces, else None."""
-        if LOOSE_SPACE.search(part) or EXOTIC.search(part):
-            return None
-        first, *rest = part.split(" ")
-        units = Counter(rest)
-        units = Counter({f" {u}": n for u, n in units.items()})
-        if first:
-            units[first] += 1
-        return units
-
-    def of_unit(self, unit: str) -> list[str]:
-        found = self.memo.get(unit)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            found = self.memo[unit] = PIECE.findall(unit)
-        return found
+    def units(self, part: str) -> list[str] | None:
+        """The text cut at its spaces, each but the first unit without the space that belongs to it; None if it can't be cut so."""
+        return None if LOOSE_SPACE.search(part) or EXOTIC.search(part) else part.split(" ")
 
 
 def piece_frequencies(docs: DataFrame, path: str) -> DataFrame:
@@ -84,7 +68,7 @@ def piece_frequencies(docs: DataFrame, path: str) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             for unit, n in units.items():
-                for piece in split.of_unit(unit):
+                for piece in PIECE.findall(" " + unit):
                     counts[piece] += n
             units.clear()
             names, freqs = list(counts), list(counts.values())
@@ -95,12 +79,10 @@ def piece_frequencies(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for part in split.parts(text)[1]:
-                    if not part:
-                        continue
-                    if (found := split.units(part)) is None:
-                        counts.update(split.pieces(part))
-                    else:
-                        units.update(found)
+                    cut = split.units(part)
+                    counts.update(split.pieces(part if cut is None else cut[0]))
+                    if cut:
+                        units.update(cut[1:])
                 if len(units) + len(counts) >= 2 * MEMO:
                     yield from out()
         yield from out()
@@ -133,6 +115,7 @@ def hot_pieces(pieces: DataFrame, most: int) -> dict[str, int]:
 
 def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_PIECES) -> DataFrame:
     """Per row of docs: id, n_bytes, n_tokens, over_limit (n_tokens > limit)."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     pieces = stage(encoded_lengths(piece_frequencies(docs, path), path), "pieces")
@@ -142,14 +125,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
         split, hot, numbers = PieceSplitter(path), table.value, row_numbers()
         memo: dict[str, tuple[int, tuple[str, ...]]] = {}
 
-        def of_unit(unit: str) -> tuple[int, tuple[str, ...]]:
-            found = memo.get(unit)
-            if found is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                pieces = PIECE.findall(unit)
-                found = memo[unit] = sum(hot.get(p, 0) for p in pieces), tuple(p for p in pieces if p not in hot)
-            return found
+        def looked_up(pieces: list[str]) -> tuple[int, tuple[str, ...]]:
+            return sum([hot.get(p, 0) for p in pieces]), tuple([p for p in pieces if p not in hot])
 
         for batch in batches:
             sizes, known, cold, freqs, ends = [], [], [], [], [0]
@@ -157,13 +134,26 @@ def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
                 text = text or ""
                 n_known, parts = split.parts(text)
                 rest: dict[str, int] = {}
-                for part in filter(None, parts):
-                    units = split.units(part)
-                    for unit, n in (Counter(split.pieces(part)) if units is None else units).items():
-                        inside, outside = of_unit(unit) if units is not None else (hot.get(unit, 0), () if unit in hot else (unit,))
-                        n_known += n * inside
-                        for piece in outside:
-                            rest[piece] = rest.get(piece, 0) + n
+                for part in parts:
+                    cut = split.units(part)
+                    inside, outside = looked_up(split.pieces(part if cut is None else cut[0]))
+                    n_known += inside
+                    for piece in outside:
+                        rest[piece] = rest.get(piece, 0) + 1
+                    if not cut:
+                        continue
+                    units = Counter(cut)
+                    units[cut[0]] -= 1
+                    for unit, n in units.items():
+                        found = memo.get(unit)
+                        if found is None:
+                            if len(memo) >= MEMO:
+                                memo.clear()
+                            found = memo[unit] = looked_up(PIECE.findall(" " + unit))
+                        n_known += n * found[0]
+                        if found[1] and n:
+                            for piece in found[1]:
+                                rest[piece] = rest.get(piece, 0) + n
                 sizes.append(len(text.encode()))
                 known.append(n_known)
                 cold.extend(rest)
