@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import row_numbers, small_batches, stage
 from .word_units import UnitEncoder, units_of
 
-MAX_NODES = 6000
+MAX_NODES = 20_000
 #: Fillings that one node of the search compares, and steps that it may take to find them.
 BRANCHES, STEPS = 4, 400
 
