@@ -15,6 +15,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of this process where it is unset (local mode)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,10 +36,16 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: the lineage is cut and a lost executor costs nothing."""
+    """Write df as Parquet in the shared folder and read it back: the lineage is cut and a lost executor costs nothing.
+
+    Spark deletes the shuffle files of the write when it ends, as the table takes their place."""
     spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path, partitionBy=list(partition_by) or None)
+    path, before = new_path(spark, name), spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, partitionBy=list(partition_by) or None)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
