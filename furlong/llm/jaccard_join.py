@@ -438,8 +438,8 @@ def close_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int,
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     by = ("bucket", "i", "j")
-    pairs = in_blocks(rows, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(work, "a bigint, b bigint").distinct()
-    pairs.staged_path = rows.staged_path
+    pairs = stage(in_blocks(rows, block).repartition(*by).sortWithinPartitions(*by).mapInArrow(work, "a bigint, b bigint").distinct(), "pairs")
+    drop(rows)
     return pairs
 
 
