@@ -1,8 +1,10 @@
 """License scans: headers and licence files against templates, then inheritance down the directories. DataFrame functions alone.
 
-The licence lines of every whole text are its header. Headers become sparse TF-IDF vectors (document frequencies are
-those of all headers and templates), their cosine with each template comes from a join on words, and the best template
-at THRESHOLD or more is the row's own licence. A row without one inherits that of the nearest ancestor
+The licence lines of every whole text are its header. What may be a statement becomes a sparse TF-IDF vector (document
+frequencies are those of all headers and templates): the header, each licence sentence in it, and, so that a holder's name, a year or
+prose around a statement does not hide it, each run of words as long as a template whose licence word lies where the template has
+one, over line ends too. The best cosine with a template counts, and from THRESHOLD on it is the row's own licence. A run of words is
+left out early only where the template words in it cannot reach THRESHOLD, whatever else it holds. A row without one inherits that of the nearest ancestor
 directory, its own included, that holds a licence file; of several such files in a directory the highest
 cosine counts, then the smallest id.
 
@@ -12,6 +14,8 @@ templates go to the first name. Null ids and repeated rows are kept. An empty ta
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +24,8 @@ THRESHOLD = 0.5
 LINE = r"(?i)licen[cs]e|copyright|spdx-|all rights reserved|permission is hereby granted|creative commons|public domain"
 FILE = r"(?i)^(licen[cs]e|copying|unlicense)"
 WORD = r"[a-z0-9][a-z0-9.+-]*[a-z0-9]|[a-z0-9]"
+SENTENCE_END = r"(?<=[.;!?])\s+|\n"
+LICENCE_WORD = r"licen[cs]e|copyright|spdx-|^(reserved|granted|commons|domain)$"
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -54,6 +60,24 @@ def header(text: Column) -> Column:
     return F.when(text.rlike(LINE), F.array_join(F.filter(F.split(text, "\n"), lambda line: line.rlike(LINE)), "\n"))
 
 
+def spans() -> list[tuple[str, int, int]]:
+    """(template, its number of words, place of a licence word in it) of all licence words of TEMPLATES; places count from 1, and place 0 stands for the template as a whole."""
+    out = []
+    for i, (name, says) in enumerate(TEMPLATES):
+        found = re.findall(WORD, says.lower())
+        out += [(f"{name}#{i}", len(found), at) for at in [0, *(j for j, word in enumerate(found, 1) if re.search(LICENCE_WORD, word))]]
+    return out
+
+
+def pieces(header: Column, said: Column) -> Column:
+    """What may be a statement, as array<struct<words, at>>: the header and its licence sentences (at 0), and the words around each licence word of all words said, itself at place at."""
+    whole = F.array_distinct(F.concat(F.array(header), F.filter(F.split(header, SENTENCE_END), lambda s: s.rlike(LINE))))
+    most = max(n for _, n, _ in spans())
+    start = lambda i: F.greatest(i - most + 2, F.lit(1))  # noqa: E731  i counts from 0
+    around = F.transform(said, lambda word, i: F.when(word.rlike(LICENCE_WORD), F.struct(F.slice(said, start(i), 2 * most - 1).alias("words"), (i + 2 - start(i)).alias("at"))))
+    return F.concat(F.transform(whole, lambda s: F.struct(words(s).alias("words"), F.lit(0).alias("at"))), F.filter(around, lambda x: x.isNotNull()))
+
+
 def directory(path: Column) -> Column:
     return F.coalesce(F.regexp_extract(path, r"^(.*)/[^/]*$", 1), F.lit(""))
 
@@ -63,23 +87,32 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     spark = files.sparkSession
     path = F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     rows = files.select(
-        F.col(id_col).alias("id"), directory(path).alias("directory"), F.regexp_extract(path, r"([^/]*)$", 1).rlike(FILE).alias("is_file"), header(F.col(text_col).cast("string")).alias("header"),
+        F.col(id_col).alias("id"), directory(path).alias("directory"), F.regexp_extract(path, r"([^/]*)$", 1).rlike(FILE).alias("is_file"), header(F.col(text_col).cast("string")).alias("header"), F.col(text_col).cast("string").alias("text"),
     ).withColumn("row", F.monotonically_increasing_id())
-    said = rows.where("header is not null")
+    said = rows.where("header is not null").select("row", "header", pieces(F.col("header"), words(F.col("text"))).alias("pieces"))
     templates = spark.createDataFrame([(f"{name}#{i}", says) for i, (name, says) in enumerate(TEMPLATES)], "template string, says string").coalesce(1)
     frequencies = lambda df, key, text: df.select(key, F.explode(words(F.col(text))).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
     of_rows, of_templates = frequencies(said, "row", "header"), frequencies(templates, "template", "says")
     df = of_rows.select("word").unionByName(of_templates.select("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     total = said.agg((F.count(F.lit(1)) + len(TEMPLATES)).alias("n"))
     idf = df.crossJoin(F.broadcast(total)).select("word", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))  # n is one row
-    weigh = lambda f: f.join(idf, "word").withColumn("weight", F.col("tf") * F.col("idf"))
-    weighed, known = weigh(of_rows), weigh(of_templates)
+    known = of_templates.join(idf, "word").withColumn("weight", F.col("tf") * F.col("idf"))
     known = known.join(known.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm")), "template").select("word", "template", (F.col("weight") / F.col("norm")).alias("part"))
-    norms = weighed.groupBy("row").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-    dots = weighed.join(F.broadcast(known), "word").groupBy("row", "template").agg(F.sum(F.col("weight") * F.col("part")).alias("dot"))  # known: the words of TEMPLATES
-    scored = dots.join(norms, "row").withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 4)).where(F.col("cosine") >= threshold)
+    parts = known.groupBy("template").agg(F.map_from_entries(F.collect_list(F.struct("word", "part"))).alias("parts"))
+    places = spark.createDataFrame(spans(), "template string, n int, place int").coalesce(1).join(parts, "template")  # of TEMPLATES, as parts are
+    tried = said.select("row", F.posexplode("pieces").alias("piece", "found")).join(F.broadcast(places), (F.col("found.at") > 0) == (F.col("place") > 0))
+    before = F.col("found.at") - F.col("place")  # words before the template's first one; negative where the text starts later than that
+    window = F.slice("found.words", F.greatest(before + 1, F.lit(1)), F.greatest(F.col("n") + F.least(before, F.lit(0)), F.lit(0)))
+    tried = tried.select("row", "piece", "place", "template", "parts", F.when(F.col("place") > 0, window).otherwise(F.col("found.words")).alias("words"))
+    reach = F.aggregate(F.array_intersect(F.map_keys("parts"), "words"), F.lit(0.0), lambda total, word: total + F.col("parts")[word] * F.col("parts")[word])
+    of_pieces = tried.where(F.sqrt(reach) >= threshold - 0.001).select("row", "piece", "place", "template", "parts", "words", F.explode(F.array_distinct("words")).alias("word"))
+    of_pieces = of_pieces.select("row", "piece", "place", "template", "word", F.col("parts")[F.col("word")].alias("part"), F.size(F.filter("words", lambda w: w == F.col("word"))).alias("tf"))
+    unseen = F.log(F.col("n") + 1) + 1  # the idf of words around a header that no header holds
+    weighed = of_pieces.join(idf, "word", "left").crossJoin(F.broadcast(total)).withColumn("weight", F.col("tf") * F.coalesce("idf", unseen))
+    cosines = weighed.groupBy("row", "piece", "place", "template").agg(F.round(F.sum(F.col("weight") * F.col("part")) / F.sqrt(F.sum(F.col("weight") ** 2)), 4).alias("cosine"))
+    scored = cosines.where(F.col("cosine") >= threshold)
     best = scored.groupBy("row").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "template")).alias("best")).select("row", F.substring_index("best.template", "#", 1).alias("own_license"), (-F.col("best.minus")).alias("cosine"))
-    owned = rows.drop("header").join(best, "row", "left")
+    owned = rows.drop("header", "text").join(best, "row", "left")
     held = owned.where("is_file and own_license is not null").groupBy("directory").agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "id", "own_license")).alias("best"))
     held = held.select(F.col("directory").alias("ancestor"), F.col("best.own_license").alias("inherited"))
     parts = F.split("directory", "/")

@@ -1,3 +1,4 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from furlong.llm import license_scan as S
@@ -30,6 +31,30 @@ def test_each_template_is_its_own_best_match(spark):
     assert [got[i] for i in range(len(S.TEMPLATES))] == [name for name, _ in S.TEMPLATES]
 
 
+def test_a_statement_counts_whatever_stands_around_it(spark):
+    filler = " ".join(f"word{i} and{i % 7}" for i in range(300))
+    texts = [
+        ("MIT", "Copyright 2021 Jane Doe\nLicensed under the MIT License."),
+        ("Apache-2.0", 'Copyright 2019 The Authors\n\nLicensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+        ("MIT", f"Released under the MIT License. {filler}"), ("MIT", f"{filler} which is licensed under the MIT License and {filler}"),
+        ("Proprietary", f"{filler}\nCopyright 2020 Acme Inc. All rights reserved.\n{filler}"),
+        ("MPL-2.0", f"/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this file, see {filler} */"),
+        ("GPL-3.0", f"Copyright (C) 2020, 2021 Jane Doe\n# This work is licensed under the GNU General Public License, version 3.\n{filler}"),
+        (None, "Copyright 2021 Jane Doe"), (None, f"{filler}\nA license is a paper. Copyright is a right of authors under the law\n{filler}"), (None, f"mit license{filler} licensed {filler} mit"),
+    ]
+    files = spark.createDataFrame([(i, f"d{i}/f", t) for i, (_, t) in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r.doc_id: r.own_license for r in S.scan(files).collect()}
+    assert [got[i] for i in range(len(texts))] == [name for name, _ in texts]
+
+
+def test_given_documents_match_the_sql(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    duck = duckdb.connect()
+    duck.sql("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    found = duck.sql(S.sql())
+    assert sorted((tuple(r) for r in S.scan(S.document_paths(docs)).select(*found.columns).collect()), key=str) == sorted(found.fetchall(), key=str)
+
+
 def test_only_built_in_functions_and_empty_table(spark):
     out = S.scan(spark.createDataFrame([], "doc_id long, path string, text string"))
     plan = out._jdf.queryExecution().executedPlan().toString()
