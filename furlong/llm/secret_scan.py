@@ -3,8 +3,8 @@
 Two first-order Markov models over characters are trained from labelled samples, one of random strings
 (label 1) and one of ordinary identifiers (label 0). Transition counts are a grouped sum in Spark; the two
 log-probability tables have one row and column for each of 66 symbol classes, so what is broadcast never grows.
-A candidate (a maximal run of key characters) is a secret when its log-likelihood ratio
-reaches a threshold.
+A candidate (a maximal run of key characters, of any length) is a secret when its log-likelihood ratio
+reaches a threshold. Runs too short to reach it with the largest ratio of all in every place are not scored.
 
 Null and empty texts have no spans. Offsets are code points, ends are exclusive. Repeated rows are scanned
 alike and all kept. An empty table gives an empty result; with no labelled sample, the models find nothing
@@ -171,17 +171,21 @@ def scan(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col:
 
 def spans_of(texts: list[str], llr: np.ndarray, threshold: float = THRESHOLD) -> Iterator[list[tuple[int, int, int]]]:
     """The sorted (start, kind number, end) spans of each text."""
+    most = llr.max()  # of one transition
+    least = int(np.ceil(threshold / most)) + 1 if most > 0 else None  # characters; no run reaches the threshold if None
+    padded = np.zeros((256, 256))  # by bytes; 0 at the ends of a run
+    padded[np.ix_(*2 * [np.frombuffer(ALPHABET.encode(), np.uint8)])] = llr
     for text in texts:
         raw = text.encode("utf-8", "surrogatepass")
         spans = rule_spans(text, raw.lower())
         data = np.frombuffer(raw, np.uint8)
         hexes = [x.tolist() for x in long_runs(data, HEX_BYTES, 24)]
-        starts, ends = long_runs(data, KEY_BYTES, 20)
+        starts, ends = long_runs(data, KEY_BYTES, max(least, 1)) if least else ((), ())
         likely = []
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            codes = CODES[data[a:b]]
-            if llr[codes[:-1], codes[1:]].sum() >= threshold:
-                likely.append((a, b))
+        if len(starts):
+            sums = np.add.reduceat(np.append(padded[data[:-1], data[1:]], 0.0), np.stack([starts, ends], 1).ravel()[: -1 if ends[-1] == len(data) else None])[::2]
+            at = np.flatnonzero(sums >= threshold)
+            likely = list(zip(starts[at].tolist(), ends[at].tolist(), strict=True))
         if hexes[0] or likely:
             before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
             spans += [(int(before[a]), 2, int(before[b])) for a, b in zip(*hexes, strict=True)]

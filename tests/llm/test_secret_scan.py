@@ -56,6 +56,21 @@ def test_markov_models_find_random_strings_and_spare_words(spark):
     assert len(found & set(range(50, 100))) <= 1
 
 
+def test_random_strings_of_any_length_are_scored(spark):
+    rng = np.random.default_rng(7)
+    secret = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), n))
+    ratios = S.train_on_corpus(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    keys = [secret(n) for n in range(10, 20) for _ in range(20)]
+    texts = [f"use {key}\nand go" if i % 2 else key for i, key in enumerate(keys)]
+    got = {r.id: r.spans for r in S.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ratios).collect()}
+    found = [[tuple(s) for s in got[i]] == [("markov", texts[i].index(key), texts[i].index(key) + len(key))] for i, key in enumerate(keys)]
+    assert sum(found) >= 0.9 * len(keys)
+    for text, spans in zip(texts, S.spans_of(texts, ratios), strict=True):  # run by run, all of them
+        runs = [(m.start(), 3, m.end()) for m in re.finditer("[A-Za-z0-9+/_-]+", text)]
+        score = lambda codes: ratios[codes[:-1], codes[1:]].sum()
+        assert spans == [r for r in runs if score(S.CODES[np.frombuffer(text[r[0] : r[2]].encode(), np.uint8)]) >= S.THRESHOLD]
+
+
 def test_redact_keeps_clean_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, "a token=abcdef1 b", 3), (2, "clean", None), (3, None, 1)], "doc_id long, text string, n int")
     out = S.redact(docs, S.train_on_corpus(docs)).orderBy("doc_id").collect()
