@@ -34,6 +34,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 SYMBOLS = len(ALPHABET)
 #: Least log-likelihood ratio of a whole candidate, in nats: odds of about 3,000 to one.
 THRESHOLD = 8.0
+#: Share of each row of transition probabilities that is spread over all symbols, so that ratios settle as the corpus grows; UNSEEN counts in each cell keep rows of few counts near that.
+SPREAD, UNSEEN = 0.05, 0.5
 CODES = np.full(256, 255, np.uint8)
 CODES[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(SYMBOLS)
 
@@ -64,7 +66,7 @@ def byte_class(characters: str) -> np.ndarray:
     return table
 
 
-HEX_BYTES, KEY_BYTES, LETTER_BYTES = byte_class("0123456789abcdef"), byte_class(ALPHABET), byte_class(ALPHABET[:52])
+HEX_BYTES, KEY_BYTES = byte_class("0123456789abcdef"), byte_class(ALPHABET)
 
 
 def ratios_of(counted: DataFrame) -> np.ndarray:
@@ -74,7 +76,8 @@ def ratios_of(counted: DataFrame) -> np.ndarray:
         tables[label, cell] = n
     if not (tables.sum(1) > 0).all():
         return np.full((SYMBOLS, SYMBOLS), -np.inf)
-    smooth = tables.reshape(2, SYMBOLS, SYMBOLS) + 0.5
+    counts = tables.reshape(2, SYMBOLS, SYMBOLS)
+    smooth = counts + UNSEEN + SPREAD * counts.mean(2, keepdims=True)
     logs = np.log(smooth / smooth.sum(2, keepdims=True))
     return logs[1] - logs[0]
 
@@ -107,7 +110,7 @@ def train(samples: DataFrame, text: str = "text", label: str = "label") -> np.nd
 
 def train_on_corpus(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """train() on the samples that all texts hold: values of assignments and access keys are random strings,
-    runs of eight letters or more outside the rule spans are ordinary identifiers."""
+    whole runs of key characters outside the rule spans, as scan() scores them, are ordinary."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((2, SYMBOLS * SYMBOLS), np.int64)
@@ -124,11 +127,11 @@ def train_on_corpus(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 ordinary.append(raw if not spans else without(text, spans).encode("utf-8", "surrogatepass"))
             if ordinary:
                 data = np.frombuffer(b"\n".join(ordinary), np.uint8)
-                starts, ends = long_runs(data, LETTER_BYTES, 8)
+                starts, ends = long_runs(data, HEX_BYTES, 24)
                 inside = np.zeros(len(data) + 1, np.int8)
                 np.add.at(inside, starts, 1)
                 np.add.at(inside, ends, -1)
-                add_transitions(tables[0], np.where(np.cumsum(inside[:-1]) > 0, data, 10).astype(np.uint8))
+                add_transitions(tables[0], np.where(np.cumsum(inside[:-1]) > 0, 10, data).astype(np.uint8))
         yield from cell_rows(tables)
 
     return ratios_of(docs.select(F.col(text_col).cast("string")).mapInArrow(work, "label int, cell int, n bigint"))

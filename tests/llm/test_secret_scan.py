@@ -71,6 +71,18 @@ def test_random_strings_of_any_length_are_scored(spark):
         assert spans == [r for r in runs if score(S.CODES[np.frombuffer(text[r[0] : r[2]].encode(), np.uint8)]) >= S.THRESHOLD]
 
 
+def test_verdicts_settle_as_the_corpus_grows(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names = ["SPDX-License-Identifier", "get_user_account_by_name", "state-of-the-art-approach", "CC-BY-4", "getElementById", "org/apache/spark", "2021-03-04", "internationalization"]
+    seen, take = [], S.ratios_of
+    monkeypatch.setattr(S, "ratios_of", lambda counted: seen.append(counted) or take(counted))
+    found = [list(S.spans_of(names, S.train_on_corpus(docs)))]
+    found += [list(S.spans_of(names, take(seen[0].withColumn("n", F.col("n") * by)))) for by in (10, 3000)]
+    assert found == [[[]] * len(names)] * 3
+    small, large = (take(seen[0].withColumn("n", F.col("n") * by)) for by in (3000, 30_000))
+    assert np.abs(small - large).max() < 0.6 and large.max() < np.log(66 / 0.05) + 0.1
+
+
 def test_redact_keeps_clean_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, "a token=abcdef1 b", 3), (2, "clean", None), (3, None, 1)], "doc_id long, text string, n int")
     out = S.redact(docs, S.train_on_corpus(docs)).orderBy("doc_id").collect()
