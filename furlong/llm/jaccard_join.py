@@ -27,11 +27,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  as pa.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import drop, in_blocks, row_numbers, runs, small_batches, stage
+from .common import drop, in_blocks, runs, small_batches, stage
 from .components import components
 
 SKETCH_BITS, SLABS, BLOOM_BITS = 18, 256, 24
@@ -223,31 +222,35 @@ def assembled(slabs: dict[int, np.ndarray], size: int, kind: np.dtype) -> np.nda
     return np.concatenate([slabs.get(i, np.zeros(size // SLABS, kind)) for i in range(SLABS)])
 
 
-def measured(docs: DataFrame, id_at: int, text_at: int, k: int, scheme: tuple[int, int]) -> tuple[DataFrame, np.ndarray]:
-    """(row, id, n_shingles, key) of every document, and the sketch of all that their sets index."""
+def row_of(id_col: str, text_col: str) -> Column:
+    """The number by which readings of a table tell its rows apart: a hash of id and text, as places in a table change with Spark's file splits. Repeated rows share it."""
+    return F.xxhash64(id_col, text_col)
+
+
+def measured(docs: DataFrame, k: int, scheme: tuple[int, int]) -> tuple[DataFrame, np.ndarray]:
+    """Of docs (row, id, text): (row, id, n_shingles, key) of every document, and the sketch of all that their sets index."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, plan, sketch = row_numbers(), Scheme(*scheme), np.zeros(1 << SKETCH_BITS, np.int64)
+        plan, sketch = Scheme(*scheme), np.zeros(1 << SKETCH_BITS, np.int64)
         last = None
         for batch in batches:
-            rows, sizes, keys, signatures = [], [], [], []
-            for text in batch.column(text_at).to_pylist():
+            sizes, keys, signatures = [], [], []
+            for text in batch.column(2).to_pylist():
                 hashes = shingles(text, k)
-                rows.append(next(numbers))
                 sizes.append(len(hashes))
                 keys.append(class_of(hashes) if len(hashes) else None)
                 if len(hashes):
                     signatures.append(slot(indexed(hashes, plan)))
             if signatures:
                 sketch += np.bincount(np.concatenate(signatures), minlength=len(sketch))
-            last = batch.schema.field(id_at).type
-            yield measured_batch(rows, batch.column(id_at), sizes, keys, [None] * len(rows), [None] * len(rows))
+            last = batch.schema.field(1).type
+            yield measured_batch(batch.column(0), batch.column(1), sizes, keys, [None] * len(sizes), [None] * len(sizes))
         if last is not None:
             for part in slab_rows(sketch):
                 n = len(part)
                 yield measured_batch([None] * n, pa.nulls(n, last), [None] * n, [None] * n, part.column(0), part.column(1))
 
-    both = stage(docs.mapInArrow(work, f"row bigint, id {docs.schema[id_at].dataType.simpleString()}, n_shingles bigint, key bigint, slab int, data binary"), "measured")
+    both = stage(docs.mapInArrow(work, f"row bigint, id {docs.schema[1].dataType.simpleString()}, n_shingles bigint, key bigint, slab int, data binary"), "measured")
     sketch = assembled(summed_slabs(both.where("slab is not null").select("slab", "data"), np.dtype(np.int64), False), 1 << SKETCH_BITS, np.int64)
     return both.where("slab is null").select("row", "id", "n_shingles", "key"), sketch
 
@@ -257,7 +260,7 @@ def measured_batch(rows, ids, sizes, keys, slabs, data) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["row", "id", "n_shingles", "key", "slab", "data"])
 
 
-def memberships(docs: DataFrame, text_at: int, k: int, scheme: tuple[int, int], sketch: np.ndarray, bucket: int, hot: int) -> DataFrame:
+def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.ndarray, bucket: int, hot: int) -> DataFrame:
     """(signature, key, probe, leader) of all sets in subsets that two classes share and one of them probes; leader: the least key there.
 
     Entries travel as blocks, one for each bucket that a task has entries of: pairs of a signature, whose last bit says whether it is a
@@ -290,7 +293,7 @@ def memberships(docs: DataFrame, text_at: int, k: int, scheme: tuple[int, int],
                 yield block_batch([int(part[order[a]]) for a, _ in spans], [entries[a:b].tobytes() for a, b in spans], [None] * len(spans), [None] * len(spans))
 
         for batch in batches:
-            for text in batch.column(text_at).to_pylist():
+            for text in batch.column(2).to_pylist():
                 hashes = shingles(text, k)
                 key = class_of(hashes) if len(hashes) else None
                 if key is None or key in seen:
@@ -360,8 +363,10 @@ def shared_subsets(blocks: list[np.ndarray]) -> pa.RecordBatch:
     return member_batch(signature[inside], key[inside], leader[inside])
 
 
-def sets_of(docs: DataFrame, text_at: int, k: int, rows: DataFrame) -> DataFrame:
-    """(key, hashes, size, sketch) of the rows of docs that rows (row, key) names, and of few others: a Bloom filter of fixed size spares the rest."""
+def sets_of(docs: DataFrame, k: int, rows: DataFrame) -> DataFrame:
+    """(key, hashes, size, sketch) of the rows of docs that rows (key, row) names, and of few others: a Bloom filter of fixed size spares the rest.
+
+    A key without a set is an error: docs has changed since it was measured."""
 
     def bits(row: np.ndarray) -> np.ndarray:
         h = mix(row.view(np.uint64))
@@ -377,17 +382,19 @@ def sets_of(docs: DataFrame, text_at: int, k: int, rows: DataFrame) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, numbers = np.unpackbits(shared.value), row_numbers()
+        bloom = np.unpackbits(shared.value)
         for batch in batches:
-            row = np.fromiter(numbers, np.int64, len(batch))
-            some = bloom[bits(row)].all(0)
-            texts = batch.column(text_at).filter(pa.array(some.astype(bool))).to_pylist()
+            some = bloom[bits(batch.column(0).to_numpy())].all(0)
+            texts = batch.column(2).filter(pa.array(some.astype(bool))).to_pylist()
             found = [(class_of(h), h.tobytes(), len(h), odd_sketch(h)) for h in (shingles(t, k) for t in texts) if len(h)]
             columns = list(zip(*found, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)], ["key", "hashes", "size", "sketch"])
 
     sets = docs.mapInArrow(work, "key bigint, hashes binary, size bigint, sketch binary")
-    return stage(sets.groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("hashes", "size", "sketch")]), "sets")
+    found = stage(sets.groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("hashes", "size", "sketch")]), "sets")
+    if lost := rows.join(found, "key", "left_anti").count():
+        raise RuntimeError(f"{lost} sets are gone: the documents differ between two readings")
+    return found
 
 
 def compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -446,14 +453,15 @@ def close_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, num: int,
 def labelled_rows(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, bucket: int = BUCKET, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """(row, id, n_shingles, root) of every row of docs: rows with one root are one component.
 
-    docs is read three times; rows are told apart by their place, so each reading has all its columns and thereby the same order."""
+    docs is read three times; rows are told apart by row_of(), so their order and their partitions may differ between the readings."""
     small_batches(docs.sparkSession)
     docs = docs.withColumn(text_col, F.col(text_col).cast("string")) if docs.schema[text_col].dataType.simpleString() != "string" else docs
-    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
-    sizes, sketch = measured(docs, id_at, text_at, k, (num, den))
-    members = memberships(docs, text_at, k, (num, den), sketch, bucket, hot)
-    wanted = sizes.join(members.select("key").distinct(), "key").groupBy("key").agg(F.min("row").alias("row"))
-    sets = sets_of(docs, text_at, k, wanted)
+    docs = docs.select(row_of(id_col, text_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sizes, sketch = measured(docs, k, (num, den))
+    members = memberships(docs, k, (num, den), sketch, bucket, hot)
+    wanted = stage(sizes.join(members.select("key").distinct(), "key").groupBy("key").agg(F.min("row").alias("row")), "wanted")
+    sets = sets_of(docs, k, wanted)
+    drop(wanted)
     degree = members.groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
     ranked = members.select("signature", "key").join(degree, "key")
     heads = ranked.groupBy("signature").agg(F.max(F.struct("degree", "key")).alias("head")).select("signature", F.col("head.key").alias("leader"))
@@ -479,15 +487,14 @@ def groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: s
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that are first of their component: those of the least id (null last), one of them if rows are repeated.
 
-    docs is read several times, each time whole, and must give its rows in one order then, as a table or a deterministic plan does."""
-    rooted = labelled_rows(docs, k, num, den, id_col, text_col)
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")).select(F.col("first.row").alias("furlong_row"))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = row_numbers()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([next(numbers) for _ in range(len(batch))], pa.int64())], [*batch.schema.names, "furlong_row"])
-
-    numbered = docs.mapInArrow(number, StructType([*docs.schema.fields, StructField("furlong_row", LongType())]))
-    return numbered.join(first, "furlong_row", "left_semi").select(*docs.columns)
-
+    docs is read several times and must hold the same rows each time, in whatever order. Texts without a shingle are all kept."""
+    text = F.col(text_col).cast("string")
+    rooted = labelled_rows(docs, k, num, den, id_col, text_col).where("n_shingles > 0")
+    rows = rooted.groupBy("root", "row").agg(F.any_value("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row", "n")).alias("first")).select(F.col("first.row").alias("furlong_row"), "first.n")
+    first = stage(first, "first")
+    empty = text.isNull() | ~text.rlike(r"[^ \t\n\x0B\f\r]")
+    numbered = docs.where(~empty).withColumn("furlong_text", text).withColumn("furlong_row", row_of(id_col, "furlong_text")).drop("furlong_text")
+    once = numbered.join(first.where("n = 1"), "furlong_row", "left_semi")
+    repeated = numbered.join(first.where("n > 1"), "furlong_row", "left_semi").dropDuplicates(["furlong_row"])
+    return once.unionByName(repeated).select(*docs.columns).unionByName(docs.where(empty))

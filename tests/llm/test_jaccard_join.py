@@ -56,6 +56,26 @@ def test_equals_brute_force(spark, seed, k, num, bucket, hot):
     assert got == brute(rows, k, num, 100)
 
 
+def test_file_splits_may_change_between_readings(spark, tmp_path, monkeypatch):
+    rows = corpus(5)
+    spark.createDataFrame(rows + rows[:3], "doc_id long, text string").repartition(6).write.parquet(f"{tmp_path}/d")
+    docs, key, before = spark.read.parquet(f"{tmp_path}/d"), "spark.sql.files.minPartitionNum", J.memberships
+
+    def replanned(*args):
+        spark.conf.set(key, "1")  # all files in one partition from here on
+        return before(*args)
+
+    monkeypatch.setattr(J, "memberships", replanned)
+    want = brute(rows + rows[:3], 5, 80, 100)
+    try:
+        assert sorted(tuple(r) for r in J.groups(docs, 5, 80, 100).collect()) == want
+        spark.conf.unset(key)
+        kept = sorted(r.doc_id for r in J.keep_one(docs, 5, 80, 100).collect())
+    finally:
+        spark.conf.unset(key)
+    assert kept == sorted([i for i, n, c in set(want) if n and i == c] + [i for i, n, _ in want if not n])
+
+
 def test_pigeonhole_holds_for_pairs():
     """A linked pair always shares a signature that the smaller set probes."""
     rng = np.random.default_rng(0)
