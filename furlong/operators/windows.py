@@ -41,6 +41,36 @@ def harmonic(x: Column, by: Keys, order: Keys, last: int) -> Column:
     return F.when(F.lag(F.lit(1), 1).over(w).isNotNull(), sum(terms[1:], terms[0]))
 
 
+def harmonic_mean(x: Column, by: Keys, order: Keys, last: int) -> Column:
+    """Mean of the last values with weights 1 / i, i = 1 the latest; missing values drop out of both sums."""
+    w = ordered(by, order)
+    lags = [F.lag(x, i).over(w) for i in range(1, last + 1)]
+    top = [F.coalesce(v / i, F.lit(0.0)) for i, v in enumerate(lags, 1)]
+    weight = [F.when(v.isNotNull(), F.lit(1 / i)).otherwise(0.0) for i, v in enumerate(lags, 1)]
+    return F.try_divide(sum(top[1:], top[0]), F.nullif(sum(weight[1:], weight[0]), F.lit(0.0)))
+
+
+def gaps_between(day: Column, by: Keys, order: Keys) -> tuple[Column, Column, Column]:
+    """Days since the last run; the changes of the days to the last four, weighted 1, 0.5 and 0.33; and their sum by the number of the last three runs."""
+    w = ordered(by, order)
+    d = [F.date_diff(day, F.lag(day, i).over(w)) for i in (1, 2, 3, 4)]
+    steps = [F.coalesce(weight * (b - a), F.lit(0.0)) for weight, a, b in zip((1.0, 0.5, 0.33), d, d[1:], strict=False)]
+    trend = sum(steps[1:], steps[0])
+    seen = sum([x.isNotNull().cast("int") for x in d[1:3]], d[0].isNotNull().cast("int"))
+    return d[0], trend, F.try_divide(trend, F.nullif(seen, F.lit(0)))
+
+
+# Scores of first, second and third places.
+PLACE_SCORES = {1: 17.41, 2: 14.77, 3: 12.62}
+
+
+def place_score(place: Column) -> Column:
+    out = None
+    for at, score in PLACE_SCORES.items():
+        out = F.when(place == at, score) if out is None else out.when(place == at, score)
+    return out.otherwise(0.0)
+
+
 def decayed(x: Column, by: Keys, order: Keys, last: int, alpha: float) -> Column:
     """Weighted mean of the last values, weights alpha^0, alpha^1, ..., the latest first; missing values drop out of both sums."""
     w = ordered(by, order)

@@ -12,29 +12,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import binned
-from ..functions.text import first_int, first_match, margin
+from ..functions.text import first_int, ground, margin, pace
 from ..operators import windows as W
 
 TIE = ["race_date", "race_time", "track", "horse_name"]
 HORSE = (["horse_name"], TIE)
 SPANS = (3, 5, 10)
-# Early pace by the first pattern that a comment matches, and going labels in order of search.
-PACE = [(r"made all|made virtually all", 6.0), (r"\bled\b|made most|made running", 5.5), (r"with leader|disputed lead|pressed leader", 5.0), (r"prominent|tracked leader|chased leader", 4.0), (r"midfield|mid-division", 3.0), (r"towards rear|in rear|held up|behind", 1.0)]
-GOINGS = [("heavy", 6.0), ("soft", 5.0), ("yielding", 4.5), ("good to firm", 2.0), ("firm", 1.0), ("slow", 4.0), ("good", 3.0), ("standard", 3.0), ("fast", 2.0)]
 
 
 def card(history: DataFrame) -> DataFrame:
     """What each run and its race amount to: outcome measures, expectations, pace and strength of the field."""
     race = Window.partitionBy("race_id")
     n, pos, price = F.col("runners"), F.col("placing"), F.when(F.col("price") > 0, F.col("price"))
-    going = F.lower("going")
-    encoded = None
-    for word, level in GOINGS:
-        encoded = F.when(going.contains(word), F.lit(level)) if encoded is None else encoded.when(going.contains(word), F.lit(level))
     base = history.withColumn("race_id", F.concat_ws("_", F.col("race_date").cast("string"), "track", F.col("race_time").cast("string"))).select(
         "*", F.coalesce((pos == 1).cast("double"), F.lit(0.0)).alias("won"), F.coalesce((pos <= 3).cast("double"), F.lit(0.0)).alias("placed"),
         F.try_divide(n - pos, n - 1).alias("nfp"), (1 - F.try_divide(pos - 1, n - 1)).alias("rb"), F.try_divide(F.lit(1.0), n).alias("chance"), (1 / price).alias("market"),
-        first_match(F.lower("comment"), PACE, 3.0).alias("pace"), first_int(F.col("race_class").cast("string")).cast("double").alias("class_no"), encoded.alias("going_no"),
+        pace(F.col("comment")).alias("pace"), first_int(F.col("race_class").cast("string")).cast("double").alias("class_no"), ground(F.col("going")).alias("going_no"),
         margin(F.col("margin")).alias("lengths"), binned(F.col("furlongs"), [0, 6, 8, 10, 12, 100], "other").alias("band"),
     )
     rank = W.rank_desc(-price, ["race_id"])

@@ -15,21 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import binned, clamp
-from ..functions.text import attenuated
+from ..functions.text import attenuated, is_maiden
 from ..operators import interpolate, robust, shrink
 from ..operators.calibrate import parabola
 from ..operators.metrics import errors
 from ..sources.staging import written
+from .scales import FRENCH_GOOD_GOING, FRENCH_SEEDS, GOING_SEEDS, GOOD_GOING, IRISH, METRES, NOT_FRENCH, SURFACE_CUTOFFS, going_group
 
-METRES = 201.168  # in a furlong
-
-# Mean allowances by going in seconds a furlong, the seeds of the priors.
-GOING_SEEDS = {
-    "Hard": -0.25, "Firm": -0.21, "Good To Firm": -0.09, "Good to Firm": -0.09, "Good": 0.05, "Good to Yielding": 0.15, "Good To Yielding": 0.15, "Yielding": 0.35, "Yielding To Soft": 0.40,
-    "Good to Soft": 0.25, "Good To Soft": 0.25, "Soft": 0.51, "Soft To Heavy": 0.65, "Heavy": 0.82, "Standard": 0.04, "Std": 0.04, "Standard To Slow": 0.06, "Std/Slow": 0.06, "Slow": 0.15,
-    "Standard To Fast": 0.01, "Std/Fast": 0.01, "Fast": -0.03,
-}
-GOOD_GOING = ("Good", "Standard", "Good To Firm", "Good to Firm", "Standard To Slow", "Standard to Slow", "Good to Yielding", "Good To Yielding", "Std", "Std/Slow", "Std/Fast", "Standard/Slow")
 SURFACE_FACTORS = {"Turf": 1.0, "All Weather": 1.10}
 
 
@@ -53,13 +45,19 @@ class Settings:
     passes: int = 5
     half_life: float = 4.0
     trim: float = 0.0
-    default_prior: float = 0.05
+    default_prior: float = 0.0  # of goings that the seeds lack
+    thin_k_irish: float = 10.0
+    k_irish: float = 1.5
+    caps: tuple[float, float] | None = None  # allowances are kept between the outer percentiles, or these where they are wider
+    seeds: dict = field(default_factory=lambda: dict(GOING_SEEDS))
     good_going: tuple[str, ...] = GOOD_GOING
     surface_factors: dict = field(default_factory=lambda: dict(SURFACE_FACTORS))
 
 
 UK = Settings()
-FRANCE = Settings(unit=METRES, class_per_furlong=0.0, trim=0.05, passes=2, tolerance=0.0)
+FRANCE = Settings(
+    unit=METRES, class_per_furlong=0.0, trim=0.05, passes=2, tolerance=0.0, thin_k=10.0, default_prior=0.05, caps=(-1.5, 2.5), seeds=dict(FRENCH_SEEDS), good_going=FRENCH_GOOD_GOING
+)
 CONFIG = ["course", "surface", "distance"]
 
 
@@ -76,6 +74,28 @@ def eligible(races: DataFrame, code: str = "race_code", oldest: str = "oldest_ag
     return races.where(~maiden & ~F.coalesce(F.col(oldest) == 2, F.lit(False)))
 
 
+def flat_runners(runners: DataFrame) -> DataFrame:
+    """Runners on surfaces that are still there: those before the day on which a course's artificial surface changed go."""
+    out = runners
+    for course, day in SURFACE_CUTOFFS.items():
+        out = out.where(~F.coalesce((F.col("course") == course) & (F.col("day") < F.lit(day).cast("date")), F.lit(False)))
+    return out
+
+
+def valid_french(runners: DataFrame) -> DataFrame:
+    """Runners with a position and a distance, at French courses, of races whose winner has a time."""
+    timed = F.max(F.when(F.col("position") == 1, F.col("winner_time"))).over(Window.partitionBy("race_id"))
+    kept = runners.where(F.col("position").isNotNull() & (F.col("distance") > 0) & ~F.coalesce(F.col("course").isin(*NOT_FRENCH), F.lit(False)))
+    return kept.withColumn("_timed", timed).where("_timed > 0").drop("_timed")
+
+
+def eligible_french(wins: DataFrame) -> DataFrame:
+    """Winners fit for standards: not of maiden races by name, nor of races whose winners are all two years old."""
+    race = Window.partitionBy("race_id")
+    young = (F.min("age").over(race) == 2) & (F.max("age").over(race) == 2)
+    return wins.withColumn("_young", F.coalesce(young, F.lit(False))).where(~F.col("_young") & ~is_maiden(F.col("race_name"))).drop("_young")
+
+
 def standards(wins: DataFrame, allowances: DataFrame | None, s: Settings) -> DataFrame:
     """(course, surface, distance, standard, n_races, provisional). Without allowances: medians on good going, or on all where that is thin.
     With them: recency-weighted medians of corrected times, trimmed if the settings say so, thin ones blended with their distance."""
@@ -92,10 +112,11 @@ def standards(wins: DataFrame, allowances: DataFrame | None, s: Settings) -> Dat
     if s.trim:
         weighed = robust.trimmed(weighed, CONFIG, "t", s.trim, "race_id")
     medians = robust.weighted_median(weighed, CONFIG, "t", "w", "race_id", "standard").join(weighed.groupBy(*CONFIG).agg(F.count(F.lit(1)).alias("n_races")), CONFIG)
-    generic = weighed.groupBy("surface", "distance").agg(F.median("t").alias("generic"))
-    n = F.col("n_races")
-    blended = F.when(n >= s.least_races, F.col("standard")).otherwise((n * F.col("standard") + s.thin_k * F.col("generic")) / (n + s.thin_k))
-    return medians.where(n >= s.least_thin).join(generic, ["surface", "distance"]).select(*CONFIG, blended.alias("standard"), "n_races", (n < 30).alias("provisional"))
+    n, near = F.col("n_races"), F.rint(F.col("distance") / s.unit).alias("_near")
+    generic = medians.where(n >= s.least_races).groupBy(near).agg(F.median("standard").alias("generic"))  # of the well-sampled standards, by whole furlongs
+    k = F.when(F.col("course").isin(*IRISH), s.thin_k_irish).otherwise(s.thin_k)
+    blended = F.when(n >= s.least_races, F.col("standard")).otherwise(F.coalesce((n * F.col("standard") + k * F.col("generic")) / (n + k), "standard"))
+    return medians.where(n >= s.least_thin).withColumn("_near", near).join(generic, "_near", "left").select(*CONFIG, blended.alias("standard"), "n_races", (n < 30).alias("provisional"))
 
 
 def with_standard(rows: DataFrame, known: DataFrame, guard: float | None = None) -> DataFrame:
@@ -113,7 +134,7 @@ def split_cards(wins: DataFrame, s: Settings) -> DataFrame:
 
 
 def going_priors(spark, s: Settings) -> DataFrame:
-    return spark.createDataFrame([(g, v / s.unit) for g, v in GOING_SEEDS.items()], "going string, prior double")
+    return spark.createDataFrame([(g, v / s.unit) for g, v in s.seeds.items()], "going string, prior double")
 
 
 def allowances(wins: DataFrame, known: DataFrame, s: Settings, priors: DataFrame | None = None) -> DataFrame:
@@ -128,11 +149,16 @@ def allowances(wins: DataFrame, known: DataFrame, s: Settings, priors: DataFrame
     near = interpolate.day_neighbours(placed.groupBy("course", "surface", "day").agg(F.avg("raw").alias("raw")), ["course", "surface"], "day", "raw", "raw")
     lacking = meetings.join(means.select("base_id"), "base_id", "left_anti").join(near, ["course", "surface", "day"])
     filled = lacking.select(F.col("base_id").alias("meeting_id"), "base_id", "raw", F.lit(None).cast("double").alias("se"), F.lit(s.least_card).cast("long").alias("n"), "going")
-    every = placed.select("meeting_id", "base_id", "raw", "se", "n", "going").unionByName(filled)
+    every = placed.select("meeting_id", "base_id", "raw", "se", "n", "going").unionByName(filled).join(meetings.select("base_id", "course"), "base_id")
     priors = going_priors(wins.sparkSession, s) if priors is None else priors
     prior = F.coalesce("prior", F.lit(s.default_prior / s.unit))
-    shrunk = every.join(priors, "going", "left").withColumn("ga", shrink.toward(F.col("raw"), F.col("n"), prior, s.k))
-    return shrunk.select("meeting_id", "base_id", shrink.boosted(F.col("ga"), s.boost_from / s.unit, s.boost * s.unit).alias("ga"), "se", "n")
+    k = F.when(F.col("course").isin(*IRISH), s.k_irish).otherwise(s.k)
+    shrunk = every.join(priors, "going", "left").withColumn("ga", (F.col("n") * F.col("raw") + k * prior) / (F.col("n") + k))
+    boosted = shrunk.select("meeting_id", "base_id", shrink.boosted(F.col("ga"), s.boost_from / s.unit, s.boost * s.unit).alias("ga"), "se", "n")
+    if s.caps is None:
+        return boosted
+    outer = boosted.agg(F.percentile("ga", 0.01).alias("_low"), F.percentile("ga", 0.99).alias("_high"))  # one row, of one value a meeting
+    return boosted.crossJoin(F.broadcast(outer)).withColumn("ga", robust.soft_cap(F.col("ga"), F.col("_low"), F.col("_high"), s.caps[0] / s.unit, s.caps[1] / s.unit)).drop("_low", "_high")
 
 
 def converged(before: DataFrame, after: DataFrame) -> float | None:
@@ -141,13 +167,18 @@ def converged(before: DataFrame, after: DataFrame) -> float | None:
 
 
 def estimate(runners: DataFrame, s: Settings = UK) -> tuple[DataFrame, DataFrame]:
-    """Standards and allowances by turns, until the allowances move less than the tolerance or the passes are used up. Both are written at each pass."""
+    """Races that are not fit for standards (by race_code and oldest_age, or by race_name, where runners have them) take part in allowances alone. Standards and allowances by turns, until the allowances move less than the tolerance or the passes are used up. Both are written at each pass."""
     wins = written(winners(runners), "winners")
-    known = written(standards(wins, None, s), "standards")
+    fit = wins
+    if {"race_code", "oldest_age"} <= set(wins.columns):
+        fit = eligible(fit)
+    if "race_name" in wins.columns:
+        fit = eligible_french(fit)
+    known = written(standards(fit, None, s), "standards")
     going = written(allowances(wins, known, s), "allowances")
     for _ in range(s.passes):
         by_base = going.groupBy(F.col("base_id").alias("meeting_id")).agg(F.avg("ga").alias("ga"))
-        known = written(standards(wins, by_base, s), "standards")
+        known = written(standards(fit, by_base, s), "standards")
         last, going = going, written(allowances(wins, known, s), "allowances")
         moved = converged(last, going)
         if moved is None or moved < s.tolerance:
@@ -182,15 +213,14 @@ def figures(runners: DataFrame, known: DataFrame, going: DataFrame, s: Settings
     return joined.withColumn("raw_figure", raw).withColumn("weighted", F.col("raw_figure") + F.coalesce(F.col("weight") - s.base_weight, F.lit(0.0)))
 
 
-def add_age_allowance(runners: DataFrame, grid: DataFrame, figure: str = "weighted", name: str = "adjusted", unit: float = 1.0) -> DataFrame:
-    """runners with name = figure + allowance. grid: (surface, age, month, distance in furlongs, pounds); ages beyond the grid's oldest of a surface get its value, others 0."""
-    oldest = grid.groupBy("surface").agg(F.max("age").alias("oldest"))
+def add_age_allowance(runners: DataFrame, grid: DataFrame, figure: str = "weighted", name: str = "adjusted", unit: float = 1.0, oldest: int = 12) -> DataFrame:
+    """runners with name = figure + allowance. grid: (surface, age, month, distance in furlongs, pounds); older horses count as `oldest`, ages and months that the grid lacks are allowed 0."""
     curves = interpolate.curves(grid, ["surface", "age", "month"], "distance", "pounds")
-    keyed = runners.join(F.broadcast(oldest), "surface", "left").withColumn("_age", F.least("age", "oldest")).withColumn("_month", F.month("day"))
+    keyed = runners.withColumn("_age", F.least("age", F.lit(oldest))).withColumn("_month", F.month("day"))
     keyed = keyed.withColumn("_furlongs", F.col("distance") / unit)
     joined = keyed.join(curves.select(F.col("surface"), F.col("age").alias("_age"), F.col("month").alias("_month"), "curve"), ["surface", "_age", "_month"], "left")
     pounds = F.coalesce(interpolate.at(F.col("curve"), F.col("_furlongs")), F.lit(0.0))
-    return joined.withColumn("allowance", pounds).withColumn(name, F.col(figure) + F.col("allowance")).drop("_age", "_month", "_furlongs", "curve", "oldest")
+    return joined.withColumn("allowance", pounds).withColumn(name, F.col(figure) + F.col("allowance")).drop("_age", "_month", "_furlongs", "curve")
 
 
 def valid_target(target: Column, figure: Column) -> Column:
@@ -208,11 +238,11 @@ def calibrate(rated: DataFrame, target: str, figure: str = "adjusted", name: str
     line, arc = F.col("slope") * F.col(figure) + F.col("intercept"), F.col("b0") + F.col("b1") * (F.col(figure) - F.col("x_mean")) + F.col("b2") * (F.col(figure) - F.col("x_mean")) ** 2
     miss = known.join(fits, "surface").groupBy("surface").agg((F.avg((arc - F.col(target)) ** 2) < 0.999 * F.avg((line - F.col(target)) ** 2)).alias("curved"))
     based = rated.join(fits.join(miss, "surface").drop("n"), "surface", "left").withColumn("_base", F.coalesce(F.when(F.col("curved"), arc).otherwise(line), F.col(figure))).drop(*[c for c in fits.columns if c not in ("surface", "n")], "curved")
-    banded = based.withColumn("_band", F.when(F.col("position") == 1, "winner").otherwise(binned(F.col("beaten"), [0, 1, 3, 5, 10, 15, 20], "other"))).withColumn("_age", F.least(F.greatest("age", F.lit(2)), F.lit(4)))
+    banded = based.withColumn("_band", F.when(F.col("position") == 1, "winner").otherwise(binned(F.col("beaten"), [0, 1, 3, 5, 10, 15, 20], "other"))).withColumn("_age", F.least(F.greatest("age", F.lit(2)), F.lit(4))).withColumn("_going", F.coalesce(going_group(F.col("going")), F.col("going")))
     rest = F.when(valid_target(F.col(target), F.col(figure)), F.col(target) - F.col("_base"))
-    layers = [(["surface", "race_class"], 0.0, None), (["surface", "course", "distance"], 100.0, 10.0), (["surface", "going"], 100.0, None), (["surface", "_band"], 100.0, None), (["surface", "_age"], 100.0, None)]
+    layers = [(["surface", "race_class"], 0.0, None), (["surface", "course", "distance"], 100.0, 10.0), (["surface", "_going"], 100.0, None), (["surface", "_band"], 100.0, None), (["surface", "_age"], 100.0, None)]
     layered = shrink.residual_layers(banded.withColumn("_left", rest), "_left", layers, "_offset")
-    return layered.withColumn(name, F.col("_base") + F.col("_offset")).drop("_base", "_band", "_age", "_left", "_offset")
+    return layered.withColumn(name, F.col("_base") + F.col("_offset")).drop("_base", "_band", "_age", "_going", "_left", "_offset")
 
 
 def race_checks(runners: DataFrame, s: Settings = UK) -> DataFrame:

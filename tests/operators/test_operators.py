@@ -17,10 +17,10 @@ def values(spark, rows, schema, column):
 
 
 def test_margins(spark):
-    said = ["nk", " SHD ", "1.5", "2nk", "2 nk", "dist", "abc", None, "dht", "3"]
-    assert values(spark, [(s,) for s in said], "x string", T.margin(F.col("x"))) == [0.3, 0.1, 1.5, 2.3, 2.3, 30.0, None, None, 0.0, 3.0]
-    said = ["1 L 1/2", "3/4 L", "CTE TETE", "ENC", "NEZ", "LOIN", "2 L", "xyz", None, "Tête", "1,5 L"]
-    assert values(spark, [(s,) for s in said], "x string", T.french_margin(F.col("x"))) == [1.5, 0.75, 0.05, 0.25, 0.03, 30.0, 2.0, None, None, 0.1, 1.5]
+    said = ["nk", " SHD ", "1.5", "2nk", "2 nk", "dist", "abc", None, "dht", "3", "", "0", "hd", "snk", "sht-hd"]
+    assert values(spark, [(s,) for s in said], "x string", T.margin(F.col("x"))) == [0.2, 0.1, 1.5, 2.2, 2.2, 30.0, None, 0.0, 0.0, 3.0, 0.0, 0.0, 0.15, 0.2, 0.15]
+    said = ["1 L 1/2", "3/4 L", "CTE TETE", "ENC", "NEZ", "LOIN", "2 L", "xyz", None, "Tête", "1.5", "CT", "TTE", "2/3", "1/3 L", "nk", "TETE A"]
+    assert values(spark, [(s,) for s in said], "x string", T.french_margin(F.col("x"))) == [1.5, 0.75, 0.05, 0.25, 0.03, 30.0, 2.0, None, 0.0, 0.1, 1.5, 0.05, 0.1, 0.67, 0.33, 0.25, None]
 
 
 def test_columns(spark):
@@ -34,8 +34,8 @@ def test_columns(spark):
 
 def test_allowances_and_classes(spark):
     assert values(spark, [("TWFA 3 9-2 TWFA 4 10-0",), ("none",), (None,)], "x string", T.allowances(F.col("x"))) == [{3: 128, 4: 140}, {}, None]
-    rows = [("Prix Group I", 1), ("LISTED race", 1), ("A RECLAMER", 1), ("x", 60000), ("x", 100), (None, None)]
-    assert values(spark, rows, "n string, p int", T.race_class(F.col("n"), F.col("p"))) == [1, 2, 6, 3, 7, None]
+    rows = [("Prix Group I", 1), ("Prix X (LISTEE)", 1), ("GR. I", 1), ("A RECLAMER", 1), ("x", 60000), ("x", 100), (None, None)]
+    assert values(spark, rows, "n string, p int", T.race_class(F.col("n"), F.col("p"))) == [1, 2, 1, 6, 3, 7, 7]
 
 
 @settings(max_examples=25, deadline=None)

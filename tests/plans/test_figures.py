@@ -67,7 +67,7 @@ def test_age_allowance_and_checks(spark):
     runners, _ = season(spark)
     grid = spark.createDataFrame([("Turf", 3, m, d, p) for m in (1, 2) for d, p in ((5.0, 10.0), (8.0, 4.0))], "surface string, age int, month int, distance double, pounds double")
     out = G.add_age_allowance(runners.withColumn("weighted", F.lit(50.0)), grid).where("age is not null and distance = 6 and month(day) = 1").select("age", "allowance").distinct().collect()
-    assert {r.allowance for r in out} == {8.0}
+    assert len(out) > 1 and all(r.allowance == (8.0 if r.age == 3 else 0.0) for r in out)
     rated = runners.withColumn("standard", F.when(F.col("distance") != 5, 60.0))
     checks = {r.race_id: r for r in G.race_checks(rated).collect()}
     five = next(r.race_id for r in runners.where("distance = 5").collect())
