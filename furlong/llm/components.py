@@ -32,4 +32,6 @@ def components(edges: DataFrame) -> DataFrame:
         if seen == state:
             break
         state = seen
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    out.staged_path = now.staged_path
+    return out

@@ -79,7 +79,7 @@ def test_file_splits_may_change_between_readings(spark, tmp_path, monkeypatch):
 def test_pigeonhole_holds_for_pairs():
     """A linked pair always shares a signature that the smaller set probes."""
     rng = np.random.default_rng(0)
-    sketch = rng.integers(0, 50, 1 << J.SKETCH_BITS)
+    sketch = rng.integers(0, 50, 1 << J.SKETCH_BITS[0])
     for num in (60, 80, 85, 95):
         plan = J.Scheme(num, 100)
         for size in [*range(1, 40), 63, 64, 65, 100, 500]:
@@ -114,6 +114,65 @@ def test_ids_that_are_null_or_repeated_and_empty_table(spark):
     assert J.groups(docs.limit(0), 4, 85, 100).count() == 0
 
 
+def chained(n, seed=3):
+    """Versions of one text, each three words from the one before, so that most of them are linked along the chain alone; and some that are linked with none."""
+    rng = random.Random(seed)
+    words, out = rng.choices([f"v{i}" for i in range(5000)], k=120), []
+    for i in range(n):
+        words = list(words)
+        words[rng.randrange(len(words))] = f"new{i}"
+        out.append((i, " ".join(words)))
+    for i in range(n, n + 30):
+        far = list(words)
+        far[::9] = [f"far{i}-{j}" for j in range(len(far[::9]))]
+        out.append((i, " ".join(far)))
+    return out
+
+
+def test_rows_that_leave_the_blocks_grow_with_the_classes(spark, monkeypatch):
+    rows, seen, before = chained(300), [], J.local_links
+
+    def counted(dealt, *rest):
+        n = dealt.count()
+        links = before(dealt, *rest)
+        seen.append((links.count(), n))
+        return links
+
+    monkeypatch.setattr(J, "local_links", counted)
+    monkeypatch.setattr(J, "FEW", 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in J.groups(docs, 5, 80, 100, block=32).collect()) == brute(rows, 5, 80, 100)
+    assert 0 < seen[0][0] < seen[0][1]
+
+
+def test_sets_that_share_half_a_number_stay_apart(spark, monkeypatch):
+    """All first halves are put in doubt, so that the second halves number the classes."""
+    rows = corpus(9, 80)
+    halves = dict(J.class_of(h) for h in (J.shingles(t, 5) for _, t in rows) if len(h))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    measured, asked = J.measured, []
+
+    def doubtful(*args):
+        sizes, sketch, _ = measured(*args)
+        firsts = frozenset(r.key for r in sizes.select("key").distinct().collect() if r.key is not None)
+        asked.append(len(firsts))
+        pairs = spark.createDataFrame([*halves.items()], "key long, second long")
+        path, sizes = sizes.staged_path, sizes.join(pairs, "key", "left").drop("key").withColumnRenamed("second", "key").select("row", "mark", "id", "n_shingles", "key")
+        sizes.staged_path = path
+        return sizes, sketch, firsts
+
+    monkeypatch.setattr(J, "measured", doubtful)
+    assert sorted(tuple(r) for r in J.groups(docs, 5, 80, 100).collect()) == brute(rows, 5, 80, 100)
+    assert asked[0] == len(halves)
+
+
+def test_columns_that_clash_with_inner_names(spark):
+    text = "the quick brown fox jumps over the lazy dog again"
+    docs = spark.createDataFrame([(3, text, "p", 1, 1), (4, text, "q", 2, 2), (5, None, "r", 3, 3)], "doc_id long, text string, root string, row int, mark int")
+    got = J.keep_one(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == [(3, text, "p", 1, 1), (5, None, "r", 3, 3)]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
