@@ -13,7 +13,8 @@ meets in none below MISSED (pairs above it are missed more rarely). A pair is lo
 class with a weight. A bucket is cut into blocks, and each pair of blocks is a group of its own, so no task gets more than two blocks;
 what leaves it is a count and a local root for each vector, never its pairs.
 
-Vectors that are null, zero, of another length than most, or hold null or non-finite components link with nothing. Null ids and
+Vectors are compared with those of their own length alone, whatever lengths there are; lengths up to the same power of two are worked on together, filled with zeros.
+A rotation takes the square of the largest length in memory. Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Null ids and
 repeated rows are kept; a null id never names a component unless all its ids are null, and is not `kept`.
 """
 
@@ -55,9 +56,10 @@ def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Which vectors can link, and those scaled to length one in double precision."""
     good, rows = np.zeros(len(column), bool), []
     for i, v in enumerate(column.to_pylist()):
-        if v is None or len(v) != dim or None in v:
+        if v is None or not 0 < len(v) <= dim or None in v:
             continue
-        x = np.array(v, np.float64)
+        x = np.zeros(dim)
+        x[: len(v)] = v
         most = np.abs(x).max()
         if np.isfinite(most) and most > 0:
             x = x / most
@@ -66,31 +68,36 @@ def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return good, np.array(rows).reshape(-1, dim)
 
 
-def class_keys(units: np.ndarray) -> list[int]:
+def class_keys(units: np.ndarray, lengths: list[int]) -> list[int]:
     import hashlib
 
-    return [int.from_bytes(hashlib.blake2b(u.tobytes(), digest_size=8).digest(), "little", signed=True) for u in units + 0.0]  # -0.0 becomes 0.0
+    made = zip(units + 0.0, lengths, strict=True)  # -0.0 becomes 0.0
+    return [int.from_bytes(hashlib.blake2b(u.tobytes() + n.to_bytes(4, "little"), digest_size=8).digest(), "little", signed=True) for u, n in made]
 
 
 def prepared(vectors: DataFrame, dim: int) -> DataFrame:
-    """(row, id, key, unit): key and unit (float64 bytes) are null where a vector links with nothing."""
+    """(row, id, key, unit, gap): key and unit (float64 bytes) are null where a vector links with nothing; gap: how much shorter it is than dim."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = row_numbers()
         for batch in batches:
             good, units = unit_rows(batch.column(1), dim)
             keys, raw = np.full(len(batch), None, object), np.full(len(batch), None, object)
-            keys[good], raw[good] = class_keys(units), [(u + 0.0).tobytes() for u in units]
-            yield pa.RecordBatch.from_arrays([pa.array([next(numbers) for _ in good], pa.int64()), batch.column(0), pa.array(keys, pa.int64()), pa.array(raw, pa.binary())], ["row", "id", "key", "unit"])
+            lengths = [len(v) for v, ok in zip(batch.column(1), good, strict=True) if ok]
+            keys[good], raw[good] = class_keys(units, lengths), [(u + 0.0).tobytes() for u in units]
+            gaps = np.full(len(batch), None, object)
+            gaps[good] = [dim - n for n in lengths]
+            columns = [pa.array([next(numbers) for _ in good], pa.int64()), batch.column(0), pa.array(keys, pa.int64()), pa.array(raw, pa.binary()), pa.array(gaps, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "key", "unit", "gap"])
 
-    return stage(vectors.mapInArrow(work, f"row bigint, id {vectors.schema['id'].dataType.simpleString()}, key bigint, unit binary"), "vectors")
+    return stage(vectors.mapInArrow(work, f"row bigint, id {vectors.schema['id'].dataType.simpleString()}, key bigint, unit binary, gap bigint"), "vectors")
 
 
 CODED = "bucket bigint, key bigint, weight bigint, signs binary, factor double, parts binary, step double"
 
 
 def coded(classes: DataFrame, dim: int, bits: int, tables: int) -> DataFrame:
-    """A row for each class and band: the bucket, the bits of all bands, and what the estimate needs."""
+    """A row for each class and band: the bucket (of the band, its bits and the vector's length), the bits of all bands, and what the estimate needs."""
     per = max(1, dim // bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +110,7 @@ def coded(classes: DataFrame, dim: int, bits: int, tables: int) -> DataFrame:
                 some = batch.slice(at, 256)
                 turned = np.frombuffer(b"".join(some.column(2).to_pylist())).reshape(-1, dim) @ turn
                 signs = turned[:, columns] >= 0
-                values = signs.reshape(len(some), tables, bits) @ place
+                values = (signs.reshape(len(some), tables, bits) @ place) + (some.column(3).to_numpy()[:, None] << np.int64(bits))
                 first = turned[:, :dim]
                 factor = np.abs(first).sum(1) / math.sqrt(dim)
                 step = np.abs(first).max(1) / 127
@@ -118,7 +125,7 @@ def coded(classes: DataFrame, dim: int, bits: int, tables: int) -> DataFrame:
                     [c.split()[0] for c in CODED.split(", ")],
                 )
 
-    return classes.select("key", "weight", "unit").mapInArrow(work, CODED)
+    return classes.select("key", "weight", "unit", "gap").mapInArrow(work, CODED)
 
 
 class Group:
@@ -169,10 +176,22 @@ def local_roots(linked: np.ndarray, key: np.ndarray) -> np.ndarray:
 def neighbours(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
     """Per row of vectors: id, n_links (other vectors with a cosine of at least threshold), component_id (the least id reached), kept (it is that one)."""
     vectors = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
-    common = vectors.where("v is not null and size(v) > 0").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    dim = common["dim"] if common else 1
+    power = F.coalesce(F.when(F.size("v") > 0, F.ceil(F.log2(F.size("v").cast("double")))), F.lit(-1)).cast("int")
+    placed = None
+    for found in vectors.groupBy(power.alias("power")).agg(F.max(F.size("v")).alias("dim")).orderBy("power").collect():  # 33 rows at most
+        some = placed_among(vectors.where(power == found["power"]), max(1, found["dim"] or 1), str(found["power"]), threshold, block)
+        placed = some if placed is None else placed.unionByName(some)
+    if placed is None:
+        placed = placed_among(vectors, 1, "-1", threshold, block)
+    least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
+    out = placed.join(least, "root")
+    return out.select(F.col("id").alias(id_col), "n_links", F.col("component_id").cast("long").alias("component_id"), F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def placed_among(vectors: DataFrame, dim: int, name: str, threshold: float, block: int) -> DataFrame:
+    """(id, n_links, root) of vectors(id, v) with at most dim components: rows with one root are one component; name tells roots of different calls apart."""
     rows = prepared(vectors, dim)
-    classes = stage(rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("weight"), F.any_value("unit").alias("unit")), "classes")
+    classes = stage(rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("weight"), F.any_value("unit").alias("unit"), F.any_value("gap").alias("gap")), "classes")
     bits, tables = bands(classes.count(), dim, threshold)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +217,5 @@ def neighbours(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id
     roots = components(counts.select(F.col("key").alias("a"), F.col("root").alias("b")))
     links = counts.groupBy("key").agg(F.sum("n").alias("n"))
     of_class = classes.select("key", "weight").join(links, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "key").alias("root"))
-    placed = rows.select("row", "id", "key").join(of_class, "key", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(F.col("root").cast("string"), F.concat(F.lit("r"), F.col("row").cast("string"))).alias("root"))
-    least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
-    out = placed.join(least, "root")
-    return out.select(F.col("id").alias(id_col), "n_links", F.col("component_id").cast("long").alias("component_id"), F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    root = F.concat(F.lit(f"{name}:"), F.coalesce(F.col("root").cast("string"), F.concat(F.lit("r"), F.col("row").cast("string"))))
+    return rows.select("row", "id", "key").join(of_class, "key", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), root.alias("root"))

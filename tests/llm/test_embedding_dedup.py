@@ -73,3 +73,13 @@ def test_null_ids_and_empty_table(spark):
     got = sorted((tuple(r) for r in E.neighbours(frame).collect()), key=str)
     assert got == sorted([(None, 1, 4, False), (4, 1, 4, True), (None, 0, None, False)], key=str)
     assert E.neighbours(frame.limit(0)).count() == 0
+
+
+def test_every_length_is_compared_with_its_own(spark):
+    """Vectors of fewer lengths link as well, those of unlike lengths never, even where one is the other filled with zeros."""
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=7).tolist(), rng.normal(size=33).tolist()
+    said = [x, x, [2 * c for c in x], x + [0.0], [*x, 0.0], y, y, [1.0], [3.0], [-1.0], [], None, [1.0, 0.0], *rng.normal(size=(40, 16)).tolist()]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.neighbours(spark.createDataFrame(list(enumerate(said)), "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(said)
+    assert [got[i] for i in range(13)] == [(2, 0)] * 3 + [(1, 3)] * 2 + [(1, 5)] * 2 + [(1, 7)] * 2 + [(0, 9), (0, 10), (0, 11), (0, 12)]
