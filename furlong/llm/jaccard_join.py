@@ -289,10 +289,11 @@ def measured_batch(*columns) -> pa.RecordBatch:
 
 
 def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.ndarray, doubtful: frozenset[int], bucket: int, hot: int) -> DataFrame:
-    """(signature, key, probe, leader) of all sets in subsets that two classes share and one of them probes; leader: the least key there.
+    """(signature, key, probe, times) of all sets in subsets that two classes share and one of them probes.
 
-    Entries travel as blocks, one for each bucket that a task has entries of: pairs of a signature, whose last bit says whether it is a
-    probe, and a key."""
+    Subsets with the same classes are one from here on, named by a hash of those classes: times says how many they were, and probe whether the
+    class probes any of them. Two names that meet only add pairs to compare. Entries travel as blocks, one for each bucket that a task has entries of:
+    pairs of a signature, whose last bit says whether it is a probe, and a key."""
     n_buckets = min(1 << 24, max(1, int(sketch.sum()) * 2 // bucket))
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     one = np.uint64(1)
@@ -344,7 +345,7 @@ def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.nda
             if pa.compute.any(is_hot).as_py():
                 found = batch.filter(is_hot)
                 signature = found.column(2).to_numpy().view(np.uint64)
-                yield member_batch(signature, found.column(3).to_numpy(), None)
+                yield member_batch(signature >> one, found.column(3).to_numpy(), signature & one, True)
                 batch = batch.filter(pa.compute.invert(is_hot))
             for number, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if number != at and blocks:
@@ -357,10 +358,11 @@ def memberships(docs: DataFrame, k: int, scheme: tuple[int, int], sketch: np.nda
 
     sent = docs.mapInArrow(emit, "bucket bigint, block binary, signature bigint, key bigint")
     dealt = sent.repartition(min(n_buckets, 100_000), F.coalesce("bucket", F.xxhash64("signature", "key"))).sortWithinPartitions("bucket")
-    found = stage(dealt.mapInArrow(join, "signature bigint, key bigint, probe boolean, leader bigint"), "members")
-    hot_rows = found.where("leader is null").drop("leader")
-    heads = hot_rows.groupBy("signature").agg(F.min("key").alias("leader"), F.max("key").alias("last"), F.max("probe").alias("probed")).where("probed and leader < last").select("signature", "leader")
-    members = found.where("leader is not null").unionByName(hot_rows.join(heads, "signature").distinct())
+    made = dealt.mapInArrow(join, "signature bigint, key bigint, probe boolean, hot boolean")
+    found = stage(made.groupBy("signature", "key", "hot").agg(F.max("probe").alias("probe"), F.when(F.col("hot"), 1).otherwise(F.count(F.lit(1))).alias("times")), "members")
+    hot_rows = found.where("hot")
+    heads = hot_rows.groupBy("signature").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.max("probe").alias("probed")).where("probed and first < last").select("signature")
+    members = found.where("not hot").unionByName(hot_rows.join(heads, "signature")).drop("hot")
     members.staged_path = found.staged_path
     return members
 
@@ -369,26 +371,24 @@ def block_batch(buckets: list, blocks: list, signatures, keys) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blocks, pa.binary()), pa.array(signatures, pa.int64()), pa.array(keys, pa.int64())], ["bucket", "block", "signature", "key"])
 
 
-def member_batch(signature: np.ndarray, key: np.ndarray, leader: np.ndarray | None) -> pa.RecordBatch:
-    leaders = pa.nulls(len(key), pa.int64()) if leader is None else pa.array(leader)
-    return pa.RecordBatch.from_arrays([pa.array((signature >> np.uint64(1)).view(np.int64)), pa.array(key), pa.array((signature & np.uint64(1)).astype(bool)), leaders], ["signature", "key", "probe", "leader"])
+def member_batch(subset: np.ndarray, key: np.ndarray, probe: np.ndarray, hot: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(subset.view(np.int64)), pa.array(key), pa.array(probe.astype(bool)), pa.array(np.full(len(key), hot))], ["signature", "key", "probe", "hot"])
 
 
 def shared_subsets(blocks: list[np.ndarray]) -> pa.RecordBatch:
-    """The entries of a bucket whose subset is shared by two classes, one of them probing."""
+    """The entries of a bucket whose subset is shared by two classes, one of them probing; equal sets of classes get equal names."""
     entries = np.concatenate(blocks).reshape(-1, 2)
-    signature, key = entries[:, 0].view(np.uint64), entries[:, 1]
-    order = np.lexsort((key, signature))
-    signature, key = signature[order], key[order]
-    new = np.concatenate([[True], (np.diff(signature) != 0) | (np.diff(key) != 0)])
-    signature, key = signature[new], key[new]
-    subset = signature >> np.uint64(1)
+    subset, probe, key = entries[:, 0].view(np.uint64) >> np.uint64(1), entries[:, 0] & 1, entries[:, 1]
+    order = np.lexsort((key, subset))
+    subset, probe, key = subset[order], probe[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(subset) != 0) | (np.diff(key) != 0)]))
+    subset, probe, key = subset[first], np.maximum.reduceat(probe, first), key[first]
     starts = np.flatnonzero(np.concatenate([[True], np.diff(subset) != 0]))
     sizes = np.diff(np.append(starts, len(subset)))
-    kept = (sizes > 1) & (np.maximum.reduceat(signature & np.uint64(1), starts) == 1)
+    kept = (sizes > 1) & (np.maximum.reduceat(probe, starts) == 1)
     inside = np.repeat(kept, sizes)
-    leader = np.repeat(np.minimum.reduceat(key, starts), sizes)
-    return member_batch(signature[inside], key[inside], leader[inside])
+    names = mix(np.add.reduceat(mix(key.view(np.uint64)), starts) + sizes.astype(np.uint64))
+    return member_batch(np.repeat(names, sizes)[inside], key[inside], probe[inside], False)
 
 
 def sets_of(docs: DataFrame, k: int, rows: DataFrame, doubtful: frozenset[int]) -> DataFrame:
@@ -574,10 +574,10 @@ def labelled_rows(docs: DataFrame, k: int, num: int, den: int, id_col: str, text
     wanted = stage(sizes.join(members.select("key").distinct(), "key").groupBy("key").agg(F.min("row").alias("row")), "wanted")
     sets = sets_of(docs, k, wanted, doubtful)
     drop(wanted)
-    degree = members.groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
+    degree = members.groupBy("key").agg(F.sum("times").alias("degree"))
     ranked = members.select("signature", "key").join(degree, "key")
     heads = ranked.groupBy("signature").agg(F.max(F.struct("degree", "key")).alias("head")).select("signature", F.col("head.key").alias("leader"))
-    votes = members.select("signature", "key").join(heads, "signature").where("key <> leader").groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"))
+    votes = members.select("signature", "key", "times").join(heads, "signature").where("key <> leader").groupBy("key", "leader").agg(F.sum("times").alias("n"))
     first = compared(votes.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("leader")).select(F.col("leader").alias("a"), F.col("key").alias("b")), sets, num, den)
     links = first.where("linked").select("a", "b")
     led = components(links)
