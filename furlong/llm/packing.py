@@ -5,7 +5,9 @@ length are interchangeable, so the search runs on the histogram of lengths (one
 capacity, whatever the corpus size): around the largest piece left it enumerates undominated fillings of the gap,
 tries the fullest first and repeats each as often as the counts allow. Best-fit decreasing is the first incumbent;
 branches that cannot beat the incumbent by the waste they have left are pruned, and the search ends when the bins
-reach the lower bound or MAX_NODES have been tried (the incumbent is then the answer).
+reach the lower bound or MAX_NODES have been tried. The enumeration looks at a few lengths a level; where it finds no filling without
+room, the fullest of all is found by sums of whole bitsets. What is still above the lower bound after that is repaired: some bins with
+room and some without are emptied and searched again, up to REPAIRS times (the incumbent is then the answer, which need not be optimal).
 Pieces are ranked among those of their length by counts per task, so no length is gathered in one task.
 
 Null and empty texts are one piece that holds the end id alone. Null ids and repeated rows are packed like any
@@ -15,10 +17,11 @@ other row. An empty table gives an empty result.
 from __future__ import annotations
 
 import array
+import random
 import zlib
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -33,6 +36,8 @@ from .word_units import UnitEncoder, units_of
 MAX_NODES = 20_000
 #: Fillings that one node of the search compares, and steps that it may take to find them.
 BRANCHES, STEPS = 4, 400
+#: Times that some bins are searched again, bins with room and without room taken each time, and nodes tried for them.
+REPAIRS, REOPENED, REPAIR_NODES = 3000, (4, 8), 60
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -102,11 +107,34 @@ def fillings(counts: Counter, lengths: list[int], gap: int) -> list[tuple[int, .
             else:
                 found.append((room, chosen))
         stack.extend(reversed(deeper))
+    if not perfect:
+        best = fullest(counts, lengths, gap)
+        found.append((gap - sum(best), best))
     found = sorted(dict.fromkeys(found), key=lambda f: (f[0], len(f[1])))[: 3 * BRANCHES]
     kept = [f for room, f in found if not dominated(f, room, counts, lengths)]
     return kept[:BRANCHES] or [found[0][1]] if found else [()]
 
 
+def fullest(counts: Counter, lengths: list[int], gap: int) -> tuple[int, ...]:
+    """The filling of a gap that leaves the least room of all; of equally full ones that with the larger pieces. lengths ascend."""
+    reach = [1]  # bit n: the lengths so far can sum to n
+    for length in lengths[: bisect_right(lengths, gap)]:
+        now, left, part = reach[-1], min(counts[length], gap // length), 1
+        while left:
+            part = min(part, left)
+            now |= (now << (part * length)) & ((1 << (gap + 1)) - 1)
+            left, part = left - part, 2 * part
+        reach.append(now)
+    at, chosen = reach[-1].bit_length() - 1, []
+    for length, before in zip(lengths[len(reach) - 2 :: -1] if len(reach) > 1 else [], reach[-2::-1], strict=True):
+        n = min(counts[length], at // length)
+        while n and not before >> (at - n * length) & 1:
+            n -= 1
+        chosen += [length] * n
+        at -= n * length
+    return tuple(chosen)
+
+
 def dominated(filling: tuple[int, ...], room: int, counts: Counter, lengths: list[int]) -> bool:
     for n in range(1, min(len(filling), 3) + 1):
         for some in set(combinations(filling, n)):
@@ -117,12 +145,21 @@ def dominated(filling: tuple[int, ...], room: int, counts: Counter, lengths: lis
     return False
 
 
-def pack_counts(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES) -> list[Pattern]:
+def pack_counts(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES, repairs: int = REPAIRS) -> list[Pattern]:
     """Patterns (lengths of a bin, how many such bins) that hold all pieces in as few bins as the search finds."""
     counts = Counter({k: v for k, v in counts.items() if v})
-    best = best_fit_decreasing(counts, capacity)
-    fewest, total = sum(t for _, t in best), sum(k * v for k, v in counts.items())
-    least = lower_bound(counts, capacity)
+    best, least = best_fit_decreasing(counts, capacity), lower_bound(counts, capacity)
+    best = search(counts, capacity, max_nodes, least, n_bins(best)) or best
+    return best if n_bins(best) <= least else repaired(best, capacity, least, repairs)
+
+
+def n_bins(patterns: Iterable[Pattern]) -> int:
+    return sum(t for _, t in patterns)
+
+
+def search(counts: Counter, capacity: int, max_nodes: int, least: int, fewest: int) -> list[Pattern] | None:
+    """The best packing into fewer than that many bins that is found within a number of nodes; None if none is."""
+    best, total = None, sum(k * v for k, v in counts.items())
     # a node: counts left, their sum, bins used, patterns so far (linked), fillings not tried yet
     stack = [node(counts, total, 0, None, capacity)]
     tried = 0
@@ -145,6 +182,37 @@ def pack_counts(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODE
     return best
 
 
+def repaired(patterns: list[Pattern], capacity: int, least: int, repairs: int) -> list[Pattern]:
+    """A packing with some bins searched again, over and over: fewer of them are taken, and as many if that evens out less of the room."""
+    held, rng = Counter(), random.Random(5)
+    for contents, times in patterns:
+        held[tuple(sorted(contents))] += times
+    loose = [c for c in held if sum(c) < capacity]
+    tight = [c for c in held if sum(c) == capacity]
+    total = sum(held.values())
+    for _ in range(repairs):
+        if total <= least:
+            break
+        taken = Counter(rng.sample(loose, min(len(loose), REOPENED[0])) + rng.sample(tight, min(len(tight), REOPENED[1])))
+        inside = Counter()
+        for contents, n in taken.items():
+            for length in contents:
+                inside[length] += n
+        some = sum(taken.values())
+        found = search(inside, capacity, REPAIR_NODES, -(-sum(k * v for k, v in inside.items()) // capacity), some + 1)
+        if found is None or (n_bins(found) == some and sum(sum(c) ** 2 * t for c, t in found) < sum(sum(c) ** 2 * t for c, t in taken.items())):
+            continue
+        total += n_bins(found) - some
+        held -= taken
+        for contents, times in found:
+            held[tuple(sorted(contents))] += times
+        touched = [*taken, *(tuple(sorted(c)) for c, _ in found)]
+        for group, full in ((loose, False), (tight, True)):
+            gone = {c for c in touched if (sum(c) == capacity) == full}
+            group[:] = [c for c in group if c not in gone] + sorted(c for c in gone if held[c])
+    return list(held.items())
+
+
 def node(left: Counter, weight: int, bins: int, path: tuple | None, capacity: int) -> tuple:
     lengths = sorted(left)
     if not lengths:

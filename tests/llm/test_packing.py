@@ -51,6 +51,33 @@ def test_small_cases_are_optimal():
     assert check(hard, 20, P.pack_counts(hard, 20)) == 4
 
 
+def planted(n, parts, low, seed):
+    """Pieces that fill n sequences of 2048, each cut into some parts of at least `low` tokens."""
+    rng, out = random.Random(seed), Counter()
+    for _ in range(n):
+        cuts = sorted(rng.sample(range(2048 - parts * low), parts - 1))
+        out.update(b - a + low for a, b in zip([0, *cuts], [*cuts, 2048 - parts * low], strict=True))
+    return out
+
+
+def test_planted_sequences_are_nearly_found():
+    for n, parts, low in [(300, 3, 513), (300, 3, 1), (200, 4, 1), (100, 4, 400)]:
+        counts = planted(n, parts, low, parts)
+        assert n <= check(counts, 2048, P.pack_counts(counts, 2048)) <= n * 103 // 100  # the last one is not solved: 103
+
+
+def test_fullest_filling_is_that_of_all_subsets():
+    rng = random.Random(4)
+    for _ in range(200):
+        counts = Counter(rng.randint(1, 40) for _ in range(rng.randint(0, 8)))
+        gap = rng.randint(0, 90)
+        got = P.fullest(counts, sorted(counts), gap)
+        sums = {0}
+        for x in counts.elements():
+            sums |= {s + x for s in sums}
+        assert sum(got) == max(s for s in sums if s <= gap) and not Counter(got) - counts
+
+
 def test_large_counts_reach_the_lower_bound():
     rng = random.Random(3)
     counts = Counter(min(2048, int(rng.lognormvariate(6, 1.2)) + 1) for _ in range(200_000))
