@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from ..operators import calibrate, interpolate, shrink
 from ..operators.metrics import correlation
 from ..operators.robust import weighted_median
+from ..sources.staging import written
 from .registry import query, r, table
 
-#: Rows that the boosted model is fitted on at most; predictions cover all rows.
-FIT_ROWS = 200_000
-
 
 @query("""
 WITH e AS (SELECT event_type, (props->>'$.k')::DOUBLE AS x, value AS y FROM events)
@@ -125,13 +123,11 @@ def pchip_map(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def gbt_predict(spark: SparkSession, sf: str) -> DataFrame:
-    """A boosted-tree prediction of prices, fitted on a bounded share of the earlier lines (FIT_ROWS at most) and applied to all."""
+    """A boosted-tree prediction of prices, fitted on all earlier lines and applied to all; what is fitted on is written once, as every boosting round reads it."""
     lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_extendedprice", "l_quantity", "p_size", "p_retailprice", F.year("l_shipdate").alias("year"))
     features = VectorAssembler(inputCols=["l_quantity", "p_size", "p_retailprice"], outputCol="features")
-    rows = features.transform(lines)
-    train = rows.where("year <= 1998")
-    share = min(1.0, FIT_ROWS / max(1, train.count()))
-    model = GBTRegressor(labelCol="l_extendedprice", featuresCol="features", maxIter=10, maxDepth=4, stepSize=0.2, seed=42).fit(train.sample(share, 42) if share < 1 else train)
+    rows = written(features.transform(lines), "gbt_predict")
+    model = GBTRegressor(labelCol="l_extendedprice", featuresCol="features", maxIter=10, maxDepth=4, stepSize=0.2, seed=42).fit(rows.where("year <= 1998"))
     return model.transform(rows).select("l_orderkey", "l_extendedprice", r("prediction", 2).alias("predicted"))
 
 

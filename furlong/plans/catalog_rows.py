@@ -104,7 +104,7 @@ def margin_cumsum(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CURVE_SQL = """
-WITH curve AS (SELECT p_brand, p_size::DOUBLE AS x, median(p_retailprice) AS y FROM part WHERE p_size % 4 = 0 GROUP BY ALL),
+WITH curve AS (SELECT p_brand, p_size::DOUBLE AS x, median(p_retailprice) AS y FROM part GROUP BY ALL),
 asked AS (SELECT p_partkey, p_brand, p_size + 0.5 AS x FROM part),
 ends AS (SELECT p_brand, min(x) AS x0, max(x) AS x1, arg_min(y, x) AS y0, arg_max(y, x) AS y1 FROM curve GROUP BY 1),
 near AS (
@@ -116,7 +116,7 @@ SELECT p_partkey, rnd(CASE WHEN lx IS NULL THEN y0 WHEN hx IS NULL THEN y1 ELSE
 
 def _curves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     part = table(spark, sf, "part")
-    points = part.where("p_size % 4 = 0").groupBy("p_brand", "p_size").agg(F.median("p_retailprice").alias("y"))
+    points = part.groupBy("p_brand", "p_size").agg(F.median("p_retailprice").alias("y"))
     return part.select("p_partkey", "p_brand", (F.col("p_size") + 0.5).alias("x")), interpolate.curves(points, ["p_brand"], "p_size", "y")
 
 
