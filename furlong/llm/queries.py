@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, embedding_dedup, jaccard_join, language_id, license_scan, media, packing, secret_scan, token_count
+from . import bpe_codec, chat_format, embedding_dedup, fill_middle, jaccard_join, language_id, license_scan, media, packing, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,3 +90,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors whose cosine is 0.9 or more: how many each links with, and its component."""
     return embedding_dedup.neighbours(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into prefix, middle and suffix, rearranged, and rebuilt."""
+    return fill_middle.digest(fill_middle.transform(table(spark, sf_dir, "documents")))
+
+
+ORACLE_SQL["op12_fill_middle"] = fill_middle.SQL
