@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, embedding_dedup, fill_middle, jaccard_join, language_id, license_scan, media, packing, secret_scan, token_count
+from . import bpe_codec, chat_format, embedding_dedup, fill_middle, jaccard_join, language_id, license_scan, media, packing, piece_codec, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -92,6 +92,12 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.neighbours(table(spark, sf_dir, "embeddings"), 0.9)
 
 
+@query
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's SentencePiece ids and of the text they decode to."""
+    return piece_codec.code(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into prefix, middle and suffix, rearranged, and rebuilt."""
