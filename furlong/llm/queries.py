@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, embedding_dedup, fill_middle, jaccard_join, language_id, license_scan, media, packing, piece_codec, secret_scan, token_count
+from . import bpe_codec, chat_format, embedding_dedup, fill_middle, jaccard_join, language_id, license_scan, media, packing, piece_codec, secret_scan, source_divergence, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -105,3 +105,12 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op12_fill_middle"] = fill_middle.SQL
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that set them apart."""
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_source_divergence"] = source_divergence.SQL
