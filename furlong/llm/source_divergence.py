@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import drop, small_batches, stage
 
-#: Terms of one vectorizer; terms and sources of a block.
-MOST_TERMS, TERMS, SOURCES = 5_000_000, 4096, 64
+#: Terms of one vectorizer; terms and sources of a block; entries of vectors that a task adds up at a time.
+MOST_TERMS, TERMS, SOURCES, ENTRIES = 5_000_000, 4096, 64, 1 << 22
 SCALE, PRIOR = 1_000_000_000, 5
 #: What each byte of a term becomes: A-Z lower case, zero for what ends a term, others (letters, and all bytes beyond ASCII) themselves.
 FOLDED = np.array([0 if b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if b <= 0x5A else b for b in range(256)], np.uint8)
@@ -74,13 +74,36 @@ def group_counts(rows: DataFrame, lang: str, least_docs: int, share: int, shares
     if shares > 1:
         rows = rows.withColumn("terms", F.filter("terms", lambda t: (t == "") | (F.pmod(F.xxhash64(t), F.lit(shares)) == share)))
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(least_docs), vocabSize=2**31 - 1).fit(rows)
-    entries = model.transform(rows).select("source", F.unwrap_udt("vector").alias("v")).select("source", F.inline(F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("n"))))
-    sums = entries.groupBy("source", "i").agg(F.sum(F.col("n").cast("bigint")).alias("n"))
+    vectors = model.transform(rows).select("source", F.unwrap_udt("vector").alias("v")).select("source", "v.indices", "v.values")
+    sums = vectors.mapInArrow(added, "source string, i int, n bigint").groupBy("source", "i").agg(F.sum("n").alias("n"))
     words = model.vocabulary
     names = rows.sparkSession.createDataFrame(pa.table({"i": pa.array(range(len(words)), pa.int32()), "term": pa.array(words, pa.string())}))
     return sums.join(names, "i").select(F.lit(lang).alias("lang"), "source", (F.col("i") + F.lit(first).cast("bigint")).alias("at"), "term", "n"), len(words)
 
 
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(source, i, n) of rows (source, indices, values), summed over ENTRIES entries or little more at a time."""
+    names: dict[str, int] = {}
+    keys, values, held = [], [], 0
+
+    def out() -> pa.RecordBatch:
+        cells, where = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(where, np.concatenate(values)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(list(names), pa.string()).take(pa.array(cells >> 32)), pa.array((cells & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], ["source", "i", "n"])
+
+    for batch in batches:
+        sources = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], np.int64)
+        keys.append(np.repeat(sources, batch.column(1).value_lengths().to_numpy(zero_copy_only=False)) << 32 | batch.column(1).flatten().to_numpy())
+        values.append(batch.column(2).flatten().to_numpy())
+        held += len(keys[-1])
+        if held >= ENTRIES:
+            yield out()
+            names.clear()
+            keys, values, held = [], [], 0
+    if keys:
+        yield out()
+
+
 def share_of(n: Column, total: Column, terms: Column) -> Column:
     """1 + floor(SCALE (n + PRIOR) / (total + PRIOR terms)); null where there are no terms."""
     return F.call_function("div", F.lit(SCALE).cast("bigint") * (n + PRIOR), F.nullif(total + PRIOR * terms, F.lit(0).cast("bigint"))) + 1
