@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import percentiles
+
 
 def line(x: Column, y: Column) -> list[Column]:
     """Aggregates slope and intercept of y on x by least squares."""
@@ -46,10 +48,10 @@ def robust_scale(x: Column, median: Column, q1: Column, q3: Column, centre: floa
 
 
 def knots(df: DataFrame, x: str, y: str, shares: Sequence[float], apart: float = 1e-3) -> list[tuple[float, float]]:
-    """Matching percentiles of two columns, those of x at least `apart`; one row reaches the driver."""
-    row = df.agg(F.percentile(x, [float(s) for s in shares]).alias("x"), F.percentile(y, [float(s) for s in shares]).alias("y")).first()
+    """Matching exact percentiles of two columns, those of x at least `apart`; one row for each column reaches the driver."""
+    xs, ys = (row["percentiles"] if (row := percentiles(df, [], c, shares).first()) else [] for c in (x, y))
     out: list[tuple[float, float]] = []
-    for a, b in zip(row["x"] or [], row["y"] or [], strict=True):
+    for a, b in zip(xs, ys, strict=False):  # a column without values gives no knots
         if not out or a - out[-1][0] > apart:
             out.append((a, b))
     return out

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import calibrate, interpolate, shrink
+from ..operators import calibrate, interpolate, prefix, ranks, shrink
 from ..operators.metrics import correlation
-from ..operators.robust import weighted_median
 from ..sources.staging import written
 from .registry import query, r, table
 
@@ -68,7 +67,7 @@ SELECT event_id, rnd(72 + (value - m) * least(greatest(18 / nullif((b - a) / 1.3
 def robust_scale(spark: SparkSession, sf: str) -> DataFrame:
     """Each group moved to one centre and spread by its quartiles."""
     events = table(spark, sf, "events")
-    q = events.groupBy("event_type").agg(F.percentile("value", 0.25).alias("a"), F.median("value").alias("m"), F.percentile("value", 0.75).alias("b"))
+    q = ranks.percentiles(events, ["event_type"], "value", [0.25, 0.5, 0.75]).select("event_type", *[F.col("percentiles")[i].alias(c) for i, c in enumerate("amb")])
     return events.join(q, "event_type").select("event_id", r(calibrate.robust_scale(F.col("value"), F.col("m"), F.col("a"), F.col("b"), 72.0, 18.0)).alias("scaled"))
 
 
@@ -196,7 +195,7 @@ def half_life_sweep(spark: SparkSession, sf: str) -> DataFrame:
     last = orders.agg(F.max(F.year("o_orderdate")).alias("last"))
     wide = orders.crossJoin(F.broadcast(last)).withColumn("half_life", F.explode(F.array(*[F.lit(h) for h in (2, 3, 5, 10)])))
     weighed = wide.withColumn("w", F.exp(-0.693 * (F.col("last") - F.year("o_orderdate")) / F.col("half_life")))
-    return weighted_median(weighed, ["half_life", "o_orderpriority"], "o_totalprice", "w", "o_orderkey", "median")
+    return prefix.weighted_medians(weighed, ["half_life", "o_orderpriority"], "o_totalprice", "w", "o_orderkey", "median")
 
 
 @query("""
@@ -214,4 +213,5 @@ def distance_bias(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT event_id, ntile(4) OVER (PARTITION BY event_type ORDER BY value, event_id)::INT AS quarter FROM events")
 def quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
     """Equal-count bins within groups."""
-    return table(spark, sf, "events").select("event_id", F.ntile(4).over(Window.partitionBy("event_type").orderBy("value", "event_id")).alias("quarter"))
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    return ranks.ntiles(events, ["event_type"], "value", "event_id", 4, "quarter").select("event_id", "quarter")

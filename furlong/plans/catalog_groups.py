@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import metrics, robust, shrink
+from ..operators import metrics, ranks, robust, shrink
+from ..sources.staging import written
 from .registry import query, r, table
 
 
@@ -58,9 +59,9 @@ SELECT p_brand, rnd(median(l_quantity), 4) AS trimmed_median FROM (
   FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE k < 1 OR n - 2 * k < 3 OR (i > k AND i <= n - k) GROUP BY 1
 """)
 def trimmed_median(spark: SparkSession, sf: str) -> DataFrame:
-    """Medians after five per cent of each tail is cut."""
-    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("tie", F.struct("l_orderkey", "l_extendedprice"))
-    return robust.trimmed_median(lines, ["p_brand"], "l_quantity", 0.05, "tie").select("p_brand", r("trimmed_median").alias("trimmed_median"))
+    """Medians after five per cent of each tail is cut; a brand may hold any share of the rows."""
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select("p_brand", "l_quantity")
+    return ranks.medians(written(lines, "lines"), ["p_brand"], "l_quantity", trim=0.05).select("p_brand", r("median").alias("trimmed_median"))
 
 
 @query(f"""
@@ -131,7 +132,7 @@ SELECT event_id, rnd(greatest(least(value, greatest(hi, 100.0)), least(lo, 1.0))
 def soft_cap_percentile(spark: SparkSession, sf: str) -> DataFrame:
     """Values kept between the outer percentiles of their type or fixed bounds, whichever are wider."""
     events = table(spark, sf, "events")
-    q = events.groupBy("event_type").agg(F.percentile("value", 0.01).alias("lo"), F.percentile("value", 0.99).alias("hi"))
+    q = ranks.percentiles(events, ["event_type"], "value", [0.01, 0.99]).select("event_type", F.col("percentiles")[0].alias("lo"), F.col("percentiles")[1].alias("hi"))
     return events.join(q, "event_type").select("event_id", r(robust.soft_cap(F.col("value"), F.col("lo"), F.col("hi"), 1.0, 100.0)).alias("capped"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import prefix, ranks
 from ..operators import windows as W
 from .registry import query, r, table
 
@@ -158,11 +159,12 @@ def pedigree_shrunk(spark: SparkSession, sf: str) -> DataFrame:
     days = events.groupBy("day").agg(F.sum("value").alias("s"), F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
     world = days.select("day", F.sum("s").over(before).alias("ds"), F.sum("n").over(before).alias("dn"))
-    today, kind = W.prior(["day"], WHEN), W.prior(["event_type"], WHEN)
+    today = W.prior(["day"], WHEN)
     zero = lambda c: F.coalesce(c, F.lit(0))
     mean = F.try_divide(zero(F.col("ds")) + zero(F.sum("value").over(today)), zero(F.col("dn")) + F.count(F.lit(1)).over(today))
-    known = events.join(world, "day").withColumn("world", mean)
-    return known.select("event_id", r((zero(F.sum("value").over(kind)) + 20 * F.col("world")) / (F.count(F.lit(1)).over(kind) + 20)).alias("shrunk"))
+    known = events.join(world, "day").select("event_id", "event_type", "ts", "value", mean.alias("world"))
+    kind = prefix.running(known, ["event_type"], WHEN, {"s": F.col("value"), "n": F.lit(1)})  # a parent may hold any share of the rows
+    return kind.select("event_id", r((F.col("s") + 20 * F.col("world")) / (F.col("n") + 20)).alias("shrunk"))
 
 
 @query("""
@@ -195,7 +197,9 @@ def race_ranks(spark: SparkSession, sf: str) -> DataFrame:
 def race_number_dense(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers of races within a meeting, and a label's frequency."""
     number = F.dense_rank().over(Window.partitionBy(F.to_date("o_orderdate"), "o_orderpriority").orderBy("o_orderkey")).cast("long")
-    return table(spark, sf, "orders").select("o_orderkey", number.alias("race_number"), F.count(F.lit(1)).over(Window.partitionBy("o_orderpriority")).alias("frequency"))
+    orders = table(spark, sf, "orders")
+    frequency = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("frequency"))
+    return orders.select("o_orderkey", "o_orderpriority", number.alias("race_number")).join(frequency, "o_orderpriority").select("o_orderkey", "race_number", "frequency")
 
 
 @query("""
@@ -237,5 +241,7 @@ SELECT event_id, rnd((std - value) / std * 100, 4) AS rating, rnd(avg((std - val
 """)
 def relative_speed(spark: SparkSession, sf: str) -> DataFrame:
     """Speed against the standard of the configuration, and its history."""
-    rated = table(spark, sf, "events").withColumn("std", F.median("value").over(Window.partitionBy("event_type"))).withColumn("v", (F.col("std") - F.col("value")) / F.col("std") * 100)
+    events = table(spark, sf, "events")
+    standards = ranks.medians(events, ["event_type"], "value", name="std")
+    rated = events.join(standards, "event_type").withColumn("v", (F.col("std") - F.col("value")) / F.col("std") * 100)
     return rated.select("event_id", r("v").alias("rating"), r(W.prior_mean(F.col("v"), USER, WHEN, 3)).alias("m3"), r(F.max("v").over(W.prior(USER, WHEN))).alias("best"))
