@@ -89,13 +89,13 @@ def percentiles(df: DataFrame, by: Sequence[str], x: str | Column, shares: Seque
     cut = F.floor(F.col("_n") * trim)
     cut = F.when(F.col("_n") - 2 * cut < least, 0).otherwise(cut)
     kept = ends.select("_key", "_n", cut.cast("bigint").alias("_cut")).withColumn("_last", F.col("_n") - 2 * F.col("_cut") - 1)
-    at = [F.col("_last") * F.lit(float(s)) for s in shares]
-    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in at])))
+    at = F.transform(F.array(*[F.lit(float(s)) for s in shares]), lambda s: F.col("_last") * s)
+    ranks = F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(F.floor(p), F.ceil(p)))))
     wanted = kept.select("_key", F.explode(ranks).alias("rank"), "_cut").select("_key", (F.col("rank") + 1 + F.col("_cut")).alias("rank"))
     found = _found(values, ends, wanted, bins, most).groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("rank", F.col("value").cast("double")))).alias("_at"))
     value = lambda k: F.element_at("_at", k + 1 + F.col("_cut"))
-    between = [F.when(F.floor(p) == F.ceil(p), value(F.floor(p))).otherwise(value(F.floor(p)) * (F.ceil(p) - p) + value(F.ceil(p)) * (p - F.floor(p))) for p in at]
-    return _opened(kept.join(found, "_key").select("_key", F.col("_n").alias("n"), F.array(*between).alias(name)), by)
+    between = lambda p: F.when(F.floor(p) == F.ceil(p), value(F.floor(p))).otherwise(value(F.floor(p)) * (F.ceil(p) - p) + value(F.ceil(p)) * (p - F.floor(p)))
+    return _opened(kept.join(found, "_key").select("_key", F.col("_n").alias("n"), F.transform(at, between).alias(name)), by)
 
 
 def medians(df: DataFrame, by: Sequence[str], x: str | Column, trim: float = 0.0, name: str = "median", bins: int = BINS, most: int = MOST) -> DataFrame:
