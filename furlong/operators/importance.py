@@ -2,7 +2,8 @@
 
 All columns are shuffled in one pass: every row is repeated once for each column and once as it is, and in the copies of a column its
 values move on by one row around a circle. The circles are ordered by a digest of key and column within buckets by a digest of the key, so the shuffling is the same in every
-run, differs by column, moves every value (but in circles of one row), and needs no window larger than a bucket, of which there are 16 to the power of `digits`.
+run, differs by column, moves every value (but in circles of one row), and needs no window larger than a bucket, of which there are 16 to the power of `digits`
+(by default so many that a bucket has 1,000 rows or more, as circles of few rows would hide importance).
 
 Keys must be unique, or the partner of equal keys is undefined; a null key counts as an empty one. Null values move like others. Rows whose target or prediction is null
 do not count.
@@ -10,6 +11,7 @@ do not count.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +20,10 @@ from pyspark.sql import functions as F
 AS_IS = ""
 
 
-def shuffled(rows: DataFrame, key: str, columns: Sequence[str], digits: int = 3) -> DataFrame:
+def shuffled(rows: DataFrame, key: str, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """rows once as they are (_shuffled empty) and once for each column with its values shuffled (_shuffled its name)."""
+    if digits is None:
+        digits = int(math.log(max(rows.count() / 1000, 1), 16))
     said = F.coalesce(F.col(key).cast("string"), F.lit(""))
     each = rows.withColumn("_shuffled", F.explode(F.array(*[F.lit(c) for c in (AS_IS, *columns)])))
     circle = Window.partitionBy("_shuffled", "_bucket").orderBy("_place")
@@ -29,7 +33,7 @@ def shuffled(rows: DataFrame, key: str, columns: Sequence[str], digits: int = 3)
     return placed.select(*[moved[c].alias(c) if c in moved else c for c in rows.columns], "_shuffled")
 
 
-def importance(rows: DataFrame, key: str, columns: Sequence[str], target: str, predict: Callable[[DataFrame], DataFrame], predicted: str = "predicted", loss: Callable[[Column, Column], Column] | None = None, digits: int = 3) -> DataFrame:
+def importance(rows: DataFrame, key: str, columns: Sequence[str], target: str, predict: Callable[[DataFrame], DataFrame], predicted: str = "predicted", loss: Callable[[Column, Column], Column] | None = None, digits: int | None = None) -> DataFrame:
     """column, error (with it shuffled), increase (over the error of the rows as they are), rank (from the largest increase to twelve digits, then name).
 
     predict adds the predicted column and keeps all others; loss takes target and prediction, by default their absolute difference."""

@@ -19,7 +19,7 @@ def rows():
 SCHEMA = "id long, strong double, label string, unused double, weak double"
 
 
-@pytest.mark.parametrize("digits", [0, 1, 3])
+@pytest.mark.parametrize("digits", [0, 1, 3, None])
 def test_shuffles_like_circles_by_hand(spark, digits):
     said = rows()
     df = spark.createDataFrame(said, SCHEMA).repartition(4)
@@ -28,7 +28,7 @@ def test_shuffles_like_circles_by_hand(spark, digits):
     for column, at in (("strong", 1), ("label", 2)):
         circles = {}
         for r in said:
-            circles.setdefault(md5(str(r[0]))[:digits], []).append(r)
+            circles.setdefault(md5(str(r[0]))[: digits or 0], []).append(r)
         for circle in circles.values():
             circle.sort(key=lambda r: md5(f"{r[0]}-{column}"))
             for r, following in zip(circle, [*circle[1:], circle[0]], strict=True):
@@ -45,7 +45,7 @@ def test_ranks_a_planted_signal(spark):
     assert [c for c in sorted(out, key=lambda c: out[c]["rank"])] == ["strong", "weak", "label", "unused"]
     assert out["unused"].increase == pytest.approx(0, abs=1e-12) and out["label"].increase == pytest.approx(0, abs=1e-12) and out["strong"].increase > 8 > out["weak"].increase > 0.8
     squared = I.importance(df, "id", ["strong"], "y", predict, loss=lambda y, p: (y - p) ** 2).first()
-    assert squared.increase > 100
+    assert squared.increase > 350  # 25 times twice the variance of 0 to 9 is 412
 
 
 def test_empty_table(spark):
