@@ -58,14 +58,15 @@ def terms_of(texts: pa.Array) -> pa.ListArray:
 
 
 def tokenised(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """(lang, source, terms) of every document."""
+    """(lang, source, terms, n_terms) of every document; terms has an empty one more."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms_of(batch.column(2).cast(pa.string()))], ["lang", "source", "terms"])
+            terms = terms_of(batch.column(2).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms, pa.array(terms.value_lengths().to_numpy() - 1, pa.int32())], ["lang", "source", "terms", "n_terms"])
 
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text")).mapInArrow(work, "lang string, source string, terms array<string>")
+    return docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text")).mapInArrow(work, "lang string, source string, terms array<string>, n_terms int")
 
 
 def group_counts(rows: DataFrame, lang: str, least_docs: int, share: int, shares: int, first: int) -> tuple[DataFrame, int]:
@@ -116,7 +117,7 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, text_col: str =
     spark = docs.sparkSession
     small_batches(spark)
     tokens = stage(tokenised(docs, text_col, lang_col, source_col).withColumn("folder", F.sha1("lang")), "tokens", "folder")  # each fit reads its language alone
-    groups = stage(tokens.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("terms") - 1).alias("tokens")), "groups")
+    groups = stage(tokens.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_terms").alias("tokens")), "groups")
     counted, sizes = [], []
     for row in groups.groupBy("lang").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where(F.col("docs") >= least_docs).orderBy("lang").collect():
         rows, shares, first = tokens.where(F.col("folder") == hashlib.sha1(row["lang"].encode()).hexdigest()).select("source", "terms"), 1, 0
