@@ -90,11 +90,12 @@ def ground(going: Column) -> Column:
 
 
 def margin(x: Column) -> Column:
-    """Lengths of a margin such as '1.5', 'nk', '2nk' or 'dist'; nothing said means 0, null if it says something else."""
+    """Lengths of a margin such as '1.5', '.5', 'nk', '2nk' or 'dist'; nothing said means 0, null if it says something else."""
     said = F.coalesce(F.lower(F.trim(x)), F.lit(""))
     number = F.regexp_extract(said, r"^(\d+\.?\d*)", 1).try_cast("double")
     added = F.try_element_at(values_of(ADDED), F.regexp_extract(said, r"^\d+\.?\d*\s*(nk|shd|hd|nse)", 1))
-    return F.coalesce(F.try_element_at(values_of(MARGINS), said), number + F.coalesce(added, F.lit(0.0)))
+    bare = F.when(said.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), said.try_cast("double"))
+    return F.coalesce(F.try_element_at(values_of(MARGINS), said), number + F.coalesce(added, F.lit(0.0)), bare)
 
 
 def french_margin(x: Column) -> Column:

@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import written
+from .ranks import medians
+
 
 def weighted_median(df: DataFrame, by: Sequence[str], x: str, weight: str, tie: str, name: str = "weighted_median") -> DataFrame:
     """Per key the first value, in ascending order, at which the running weight reaches half of the total (but for rounding)."""
@@ -36,7 +39,7 @@ def trimmed_median(df: DataFrame, by: Sequence[str], x: str, share: float, tie:
 def winsorized(df: DataFrame, by: Sequence[str], x: str) -> DataFrame:
     """Per key: n, and mean, standard error and median after the lowest value is lifted to the second and the highest lowered to the last but one.
 
-    Keys of one or two values are left as they are."""
+    Keys of one or two values are left as they are. A key's values are gathered, which suits cards and the like; winsorized_large() takes keys of any size."""
     extremes = F.sort_array(F.collect_list(x))
     gathered = df.where(F.col(x).isNotNull()).groupBy(*by).agg(extremes.alias("_a"))
     n = F.size("_a")
@@ -49,6 +52,28 @@ def winsorized(df: DataFrame, by: Sequence[str], x: str) -> DataFrame:
     return with_mean.select(*by, n.cast("long").alias("n"), F.col("_m").alias("winsor_mean"), F.when(n > 1, F.sqrt(square / (n - 1)) / F.sqrt(n)).alias("winsor_se"), middle.alias("winsor_median"))
 
 
+def winsorized_large(df: DataFrame, by: Sequence[str], x: str) -> DataFrame:
+    """What winsorized() gives, for keys of any size: no key's values are gathered.
+
+    One pass takes each key's moments and ends, a second the values next to the ends; the mean and error follow in closed form, and the median
+    is that of the values themselves, as the ends that move stay on their sides. The narrow input is written once."""
+    values = written(df.where(F.col(x).isNotNull()).select(F.struct(*by).alias("_key"), F.col(x).cast("double").alias("_x")), "winsorized")
+    ends = values.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.avg("_x").alias("_mean"), F.coalesce(F.var_samp("_x"), F.lit(0.0)).alias("_var"))
+    at_low, at_high = F.col("_x") == F.col("_low"), F.col("_x") == F.col("_high")
+    inner = values.join(ends.select("_key", "_low", "_high"), "_key").groupBy("_key").agg(
+        F.count_if(at_low).alias("_lows"), F.min(F.when(~at_low, F.col("_x"))).alias("_above"), F.count_if(at_high).alias("_highs"), F.max(F.when(~at_high, F.col("_x"))).alias("_below")
+    )
+    n, mean = F.col("n"), F.col("_mean")
+    low = F.when((n > 2) & (F.col("_lows") == 1), F.col("_above")).otherwise(F.col("_low"))
+    high = F.when((n > 2) & (F.col("_highs") == 1), F.col("_below")).otherwise(F.col("_high"))
+    moved = mean + ((low - F.col("_low")) + (high - F.col("_high"))) / n
+    off = lambda v: (v - mean) * (v - mean)
+    square = F.greatest(F.col("_var") * (n - 1) - off(F.col("_low")) - off(F.col("_high")) + off(low) + off(high) - n * off(moved), F.lit(0.0))
+    middle = medians(values, ["_key"], "_x").select("_key", "median")
+    out = ends.join(inner, "_key").join(middle, "_key")
+    return out.select(*[F.col("_key").getField(c).alias(c) for c in by], n, moved.alias("winsor_mean"), F.when(n > 1, F.sqrt(square / (n - 1)) / F.sqrt(n)).alias("winsor_se"), F.col("median").alias("winsor_median"))
+
+
 def without_outliers(df: DataFrame, by: Sequence[str], x: str, most: float = 3.0) -> DataFrame:
     """Rows whose distance from their key's median is at most `most` standard deviations; keys without spread stay whole."""
     w = Window.partitionBy(*by)

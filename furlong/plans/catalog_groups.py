@@ -87,7 +87,7 @@ SELECT user_id, any_value(e.n)::BIGINT AS n, rnd(avg(least(greatest(value, lo),
 """)
 def winsor_mean_se(spark: SparkSession, sf: str) -> DataFrame:
     """Means, standard errors and medians with the extremes pulled in."""
-    out = robust.winsorized(table(spark, sf, "events"), ["user_id"], "value")
+    out = robust.winsorized_large(table(spark, sf, "events"), ["user_id"], "value")
     return out.select("user_id", "n", *[r(c).alias(c) for c in ("winsor_mean", "winsor_se", "winsor_median")])
 
 

@@ -16,7 +16,7 @@ COMMENTS = (
     "Prominent", "close up", "in touch", "front of mid-division", "held up in midfield", "held up in touch", "towards rear", "Held up behind", "last pair", "in rear", "always rear", "never dangerous", "", "slowly away",
 )
 GOINGS = ("Heavy", "Soft", " good to soft ", "Good", "Good to Firm", "Firm", "Hard", "Standard", "Standard to Slow", "Slow", "Yielding", "Yielding to Soft", "unknown", "", "Gd/Frm", "Fast")
-MARGINS = ("", "0", "dht", "dh", "nse", "SHD", "hd", "sht-hd", "nk", "snk", "dist", "1.5", "2nk", "3 hd", "1shd", "2.25nse", "7", " 4 ", "abc", "10.", "nk2")
+MARGINS = ("", "0", "dht", "dh", "nse", "SHD", "hd", "sht-hd", "nk", "snk", "dist", "1.5", "2nk", "3 hd", "1shd", "2.25nse", "7", " 4 ", "abc", "10.", "nk2", ".5")
 FRENCH = ("", "CTE TETE", "Courte tete", "CT", "C.T.", "CTE ENC.", "courte encolure", "NEZ", "ENC", "ENCOLURE", "ENK", "NK", "LOIN", "TETE", "Tête", "TTE", "1 L 1/2", "3/4 L", "2 L", "5", "1/3", "2/3 L", "1 L", "11/2", "xyz", "2.5", "0", "3 L 1/5")
 NAMES = ("PRIX DU GROUPE I", "Prix (GR. II)", "Groupe III", "GROUP IV", "Prix LISTEE", "prix listée", "A RECLAMER", "Réclamer", "claiming stakes", "PRIX MAIDEN", "Debutants", "n'ayant jamais gagné", "PRIX DE LA VILLE", "")
 TRACKS = ("PISTE EN SABLE FIBRE", "psf corde a gauche", "ligne droite", "", "Polytrack", "gazon")
@@ -68,7 +68,7 @@ def ground_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(rf"""
 SELECT event_id, CASE WHEN m IN ('', '0', 'dht', 'dh') THEN 0.0::DOUBLE WHEN m = 'nse' THEN 0.05 WHEN m = 'shd' THEN 0.1 WHEN m IN ('hd', 'sht-hd') THEN 0.15 WHEN m IN ('nk', 'snk') THEN 0.2 WHEN m = 'dist' THEN 30.0
-  WHEN regexp_matches(m, '^\d') THEN regexp_extract(m, '^(\d+\.?\d*)', 1)::DOUBLE + CASE regexp_extract(m, '^\d+\.?\d*\s*(nk|shd|hd|nse)', 1) WHEN 'nk' THEN 0.2 WHEN 'shd' THEN 0.1 WHEN 'hd' THEN 0.15 WHEN 'nse' THEN 0.05 ELSE 0 END END AS lengths
+  WHEN regexp_matches(m, '^\d') THEN regexp_extract(m, '^(\d+\.?\d*)', 1)::DOUBLE + CASE regexp_extract(m, '^\d+\.?\d*\s*(nk|shd|hd|nse)', 1) WHEN 'nk' THEN 0.2 WHEN 'shd' THEN 0.1 WHEN 'hd' THEN 0.15 WHEN 'nse' THEN 0.05 ELSE 0 END ELSE try_cast(m AS DOUBLE) END AS lengths
 FROM (SELECT event_id, lower(trim({dealt_sql(MARGINS, "event_id")})) AS m FROM events)
 """)
 def uk_margins(spark: SparkSession, sf: str) -> DataFrame:

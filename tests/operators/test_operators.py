@@ -17,8 +17,8 @@ def values(spark, rows, schema, column):
 
 
 def test_margins(spark):
-    said = ["nk", " SHD ", "1.5", "2nk", "2 nk", "dist", "abc", None, "dht", "3", "", "0", "hd", "snk", "sht-hd"]
-    assert values(spark, [(s,) for s in said], "x string", T.margin(F.col("x"))) == [0.2, 0.1, 1.5, 2.2, 2.2, 30.0, None, 0.0, 0.0, 3.0, 0.0, 0.0, 0.15, 0.2, 0.15]
+    said = ["nk", " SHD ", "1.5", "2nk", "2 nk", "dist", "abc", None, "dht", "3", "", "0", "hd", "snk", "sht-hd", ".5", "-1.5", "."]
+    assert values(spark, [(s,) for s in said], "x string", T.margin(F.col("x"))) == [0.2, 0.1, 1.5, 2.2, 2.2, 30.0, None, 0.0, 0.0, 3.0, 0.0, 0.0, 0.15, 0.2, 0.15, 0.5, -1.5, None]
     said = ["1 L 1/2", "3/4 L", "CTE TETE", "ENC", "NEZ", "LOIN", "2 L", "xyz", None, "Tête", "1.5", "CT", "TTE", "2/3", "1/3 L", "nk", "TETE A"]
     assert values(spark, [(s,) for s in said], "x string", T.french_margin(F.col("x"))) == [1.5, 0.75, 0.05, 0.25, 0.03, 30.0, 2.0, None, 0.0, 0.1, 1.5, 0.05, 0.1, 0.67, 0.33, 0.25, None]
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from furlong.operators import prefix, ranks
+from furlong.operators import prefix, ranks, robust
 
 SCHEMA = "k string, x double, tie long, other int"
 
@@ -125,3 +125,15 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert ranks.ntiles(none, ["k"], "x", "tie", 4, "tile").count() == 0
     assert prefix.running(none, ["k"], ["tie"], {"s": F.col("x")}).count() == 0
+
+
+def test_winsorized_large_equals_winsorized(spark):
+    rng = random.Random(3)
+    said = [(rng.choice(["a", "b", None]), rng.choice([1000.0, 1000.5, 1000 + rng.random()])) for _ in range(200)]
+    said += [("one", 5.0), ("pair", 1.0), ("pair", 4.0), ("three", 1.0), ("three", 2.0), ("three", 9.0), ("same", 7.0), ("same", 7.0), ("same", 7.0), ("tie", 1.0), ("tie", 1.0), ("tie", 2.0), ("none", None)]
+    df = spark.createDataFrame([(k, x, 1) for k, x in said], "k string, x double, n int").repartition(3)
+    small, large = ({r.k: r for r in f(df, ["k"], "x").collect()} for f in (robust.winsorized, robust.winsorized_large))
+    assert small.keys() == large.keys() and "none" not in large
+    for k, r in small.items():
+        assert large[k].n == r.n and large[k].winsor_mean == pytest.approx(r.winsor_mean, abs=1e-9) and large[k].winsor_median == pytest.approx(r.winsor_median, abs=1e-9)
+        assert (large[k].winsor_se is None) == (r.winsor_se is None) and (r.winsor_se is None or large[k].winsor_se == pytest.approx(r.winsor_se, abs=1e-7))
