@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import mapping
+from ..operators import boosting, mapping
 from ..operators.importance import importance
 from .registry import query, r, table
 
@@ -38,3 +38,12 @@ def mapping_bake_off(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_quantity") * 1000).alias("x"), "l_extendedprice", F.year("l_shipdate").alias("year"))
     scores = mapping.bake_off(lines, "l_returnflag", "x", "l_extendedprice", F.col("year") <= 1996)
     return scores.select("method", "n", *[r(c, 3).alias(c) for c in ("mae", "bias", "rmse", "corr")])
+
+
+@query()
+def boosted_blend(spark: SparkSession, sf: str) -> DataFrame:
+    """The mean of four boosted models of prices, fitted on years up to 1996 and stopped by those of 1997; tests hold rounds and mean against models fitted apart."""
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.select("l_orderkey", "l_extendedprice", "l_quantity", "l_discount", "p_size", "p_retailprice", F.year("l_shipdate").alias("year"))
+    out, _ = boosting.blend(rows, ["l_quantity", "l_discount", "p_size", "p_retailprice"], "l_extendedprice", F.col("year") <= 1996, F.col("year") == 1997, depths=(3, 4), trees=8, step=0.3)
+    return out.select("l_orderkey", "l_extendedprice", r("predicted", 2).alias("predicted"))
