@@ -83,7 +83,6 @@ def core(chunk: str, encoder: UnitEncoder) -> tuple[int, int] | None:
 
     def apart(left: str, right: str) -> bool:
         words = units_of(left), units_of(right)
-        encoder.learn(words)
         ids = b"".join([encoder.units[u][3] for w in words for u in w])
         return array.array("H", ids).tolist() == encoder.encode(left + right)
 
@@ -169,7 +168,7 @@ def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             for at in range(0, len(texts), 500):
                 runs = [shared.split(t or "") for t in texts[at : at + 500]]
                 words = [[None if k is not None else units_of(t) for k, t in r] for r in runs]
-                encoder.learn(w for r in words for w in r if w)
+                encoder.renew()
                 units = encoder.units
                 for r, w in zip(runs, words, strict=True):
                     if len(r) == 1:
@@ -202,7 +201,7 @@ def code(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         encoder = unit_encoder(path)
         for batch in batches:
             words = [units_of(t) for t in batch.column(1).to_pylist()]
-            encoder.learn(words)
+            encoder.renew()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b"".join([encoder.units[u][3] for u in w]) for w in words], pa.binary())], ["hash", "core_ids"])
 
     chunks = parts.where("text is not null").groupBy("hash").agg(F.min("text").alias("text")).mapInArrow(encode_chunks, "hash bigint, core_ids binary")

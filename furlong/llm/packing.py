@@ -26,6 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ MAX_NODES = 20_000
 BRANCHES, STEPS = 4, 400
 #: Times that some bins are searched again, bins with room and without room taken each time, and nodes tried for them.
 REPAIRS, REOPENED, REPAIR_NODES = 3000, (4, 8), 60
+#: Units whose ids are gathered in one step.
+UNITS_AT_ONCE = 500_000
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -250,6 +253,37 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
+def cut_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts one after the other, and where those of each text end; units may be empty."""
+    texts = pc.fill_null(texts, "")
+    if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():  # white space for Arrow as for Python, but not for the tokenizer
+        lists = pa.array([units_of(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+    else:
+        lists = pc.utf8_split_whitespace(texts)
+    return lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def ids_of(texts: pa.Array, encoder: UnitEncoder) -> Iterator[bytes]:
+    """The ids of each text, four bytes each: distinct units are rendered, and their ids gathered by position, UNITS_AT_ONCE positions at a time."""
+    units, ends = cut_units(texts)
+    coded = units.dictionary_encode()
+    names, places = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+    encoder.renew()
+    known = encoder.units
+    rendered = [known[u] if u else b"" for u in names]
+    flat, sizes = np.frombuffer(b"".join(rendered), np.uint32), np.array([len(r) // 4 for r in rendered], np.int64)
+    firsts = np.cumsum(sizes) - sizes
+    blocks = []
+    for at in range(0, len(places), UNITS_AT_ONCE):
+        some = places[at : at + UNITS_AT_ONCE]
+        n = sizes[some]
+        blocks.append(flat[np.repeat(firsts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+    ids = np.concatenate(blocks) if blocks else flat
+    until = np.append(0, np.cumsum(sizes[places]))[ends].tolist()
+    for a, b in zip([0, *until], until, strict=False):
+        yield ids[a:b].tobytes()
+
+
 def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, and the task that made it with the piece's rank among those of its length there."""
 
@@ -259,16 +293,12 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id_col
         numbers = row_numbers()
         for batch in batches:
             rows = []
-            for at in range(0, len(batch), 500):
-                texts = [units_of(t or "") for t in batch.column(1).slice(at, 500).to_pylist()]
-                encoder.learn(texts)
-                units = encoder.units
-                for i, text in enumerate(texts, at):
-                    ids, row = b"".join([*map(units.__getitem__, text), end]), next(numbers)
-                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        mine = ids[start : start + 4 * capacity]
-                        rows.append((i, row, piece, start // 4, len(mine) // 4, zlib.crc32(mine), seen[len(mine) // 4]))
-                        seen[len(mine) // 4] += 1
+            for i, own in enumerate(ids_of(batch.column(1), encoder)):
+                ids, row = own + end, next(numbers)
+                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                    mine = ids[start : start + 4 * capacity]
+                    rows.append((i, row, piece, start // 4, len(mine) // 4, zlib.crc32(mine), seen[len(mine) // 4]))
+                    seen[len(mine) // 4] += 1
             where, row, piece, start, length, crc, local = (np.array(c) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 7
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(where)), pa.array(row), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc), pa.array(np.full(len(where), part), pa.int64()), pa.array(local)],

@@ -7,7 +7,7 @@ a unit met for the first time is cut into words, and the library's model encodes
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import regex
 
@@ -35,52 +35,54 @@ PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
 
 
+class Units(dict):
+    """What units render to; one that is not held is taken from the older generation or made."""
+
+    def __init__(self, make: Callable[[str], object], older: dict[str, object]):
+        self.make, self.older = make, older
+
+    def __missing__(self, unit: str) -> object:
+        found = self.older.get(unit)
+        if found is None:
+            found = self.make(unit)
+        self[unit] = found
+        return found
+
+
 class UnitEncoder:
     """What a text's units render to, remembered. render makes it of the ids of a word, combine of those of several words.
 
-    Two generations are kept, of at most MEMO units and words each: what is still in use moves to the younger one."""
+    Words are held as the units that they would be on their own. Two generations are kept, of about MEMO units each: what is still in use
+    moves to the younger one."""
 
     def __init__(self, path: str, render: Callable[[list[int]], object], combine: Callable[[list], object]):
         self.tok, self.render, self.combine = tokenizer(path), render, combine
         self.cut = self.tok.model.tokenize
-        self.words: dict[str, object] = {}
-        self.units: dict[str, object] = {}
-        self.old_words: dict[str, object] = {}
-        self.old_units: dict[str, object] = {}
+        self.units = Units(self.rendered, {})
 
     def encode(self, text: str) -> list[int]:
         """The ids by the library."""
         return self.tok.encode(text, add_special_tokens=False).ids
 
+    def rendered(self, unit: str) -> object:
+        """A unit's rendering, made of those of its words."""
+        if not (unit.isascii() or PLAIN.fullmatch(unit)) or "<|" in unit:
+            return self.render(self.encode(unit))
+        low = unit.lower()
+        if low.isalpha():
+            return self.word(low) if low == unit else self.units[low]
+        if low[-1] in ",.;:!?" and low[:-1].isalpha():
+            return self.combine([self.units[low[:-1]], self.units[low[-1]]])
+        words = WORD.findall(low)
+        return self.word(low) if words == [low] else self.combine([self.units[w] for w in words])
+
     def word(self, word: str) -> object:
         """A word's rendering: the library's model applied to the signs that stand for its bytes."""
-        found = self.words.get(word)
-        if found is None:
-            found = self.old_words.get(word)
-            if found is None:
-                signs = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
-                found = self.render([t.id for t in self.cut(signs)])
-            self.words[word] = found
-        return found
-
-    def learn(self, unit_lists: Iterable[list[str]]) -> None:
-        """Make sure that all units of these lists are in self.units."""
-        wanted = set().union(*unit_lists)
-        if len(self.units) + len(wanted) > MEMO:
-            self.units, self.old_units = {}, self.units
-        if len(self.words) > MEMO:
-            self.words, self.old_words = {}, self.words
-        units, old, word, combine = self.units, self.old_units, self.word, self.combine
-        for unit in [u for u in wanted if u not in units]:
-            found = old.get(unit)
-            if found is None:
-                low = unit.lower()
-                if not (unit.isascii() or PLAIN.fullmatch(unit)) or "<|" in unit:
-                    found = self.render(self.encode(unit))
-                elif low.isalpha():
-                    found = word(low)
-                elif low[-1] in ",.;:!?" and low[:-1].isalpha():
-                    found = combine([word(low[:-1]), word(low[-1])])
-                else:
-                    found = combine([word(w) for w in WORD.findall(low)])
-            units[unit] = found
+        signs = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return self.render([t.id for t in self.cut(signs)])
+
+    def renew(self) -> None:
+        """Begin a new generation if the younger one is full; to be called between batches."""
+        if len(self.units) > MEMO:
+            self.units.older = {}
+            self.units = Units(self.rendered, self.units)

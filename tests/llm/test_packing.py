@@ -112,3 +112,24 @@ def test_pieces_hold_the_library_ids(spark):
 
 def test_empty_table(spark):
     assert P.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_ids_of_texts_with_any_white_space_and_repeated_words():
+    import array
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from furlong.llm import packing
+    from furlong.llm.common import tokenizer
+    from furlong.llm.word_units import UnitEncoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = ["", None, " ", "One one ONE, one. it's IT'S a1b22", "x y　z\x85w\xa0v", "\n\tÀ à Ⱥ ⱥ İ ǅ <|endoftext|> a<|b|>c ***&&& “quoted” 日本語", "one " * 3000]
+    odd = ["a\x1cb c\x1dd", "one\x1f two", None, ""]
+    for texts in (plain, odd, plain + odd, [None], []):
+        encoder = UnitEncoder(path, lambda ids: array.array("I", ids).tobytes(), b"".join)
+        for _ in range(2):
+            got = [array.array("I", b).tolist() for b in packing.ids_of(pa.array(texts, pa.string()), encoder)]
+            assert got == [tokenizer(path).encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [array.array("I", b).tolist() for b in packing.ids_of(pa.array([*plain, *odd], pa.string()).slice(3, 4), encoder)] == [tokenizer(path).encode(t or "", add_special_tokens=False).ids for t in plain[3:]]
