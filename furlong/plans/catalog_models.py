@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import boosting, mapping
+from ..operators import boosting, compare, mapping
 from ..operators.importance import importance
+from ..sources.staging import written
 from .registry import query, r, table
 
 _CIRCLE = "coalesce(lead({0}) OVER w, first_value({0}) OVER w)"
@@ -47,3 +48,31 @@ def boosted_blend(spark: SparkSession, sf: str) -> DataFrame:
     rows = lines.select("l_orderkey", "l_extendedprice", "l_quantity", "l_discount", "p_size", "p_retailprice", F.year("l_shipdate").alias("year"))
     out, _ = boosting.blend(rows, ["l_quantity", "l_discount", "p_size", "p_retailprice"], "l_extendedprice", F.col("year") <= 1996, F.col("year") == 1997, depths=(3, 4), trees=8, step=0.3)
     return out.select("l_orderkey", "l_extendedprice", r("predicted", 2).alias("predicted"))
+
+
+def _fold_sql(name: str, trains: str, tests: str) -> str:
+    """SQL for the errors of a line on quantity and of a plane on quantity and size, by the closed forms of least squares."""
+    return f"""
+SELECT '{name}' AS fold, setting, count(*) AS n, rnd(avg(abs(e)), 3) AS mae, rnd(sqrt(avg(e * e)), 3) AS rmse, rnd(avg(e), 3) AS bias, rnd(avg(abs(e) - abs(e0)), 3) AS change,
+  rnd(stddev_samp(abs(e) - abs(e0)) / sqrt(count(*)), 3) AS change_se
+FROM (WITH t AS (SELECT * FROM x WHERE {trains}),
+  m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM t),
+  e AS (SELECT my + ay / aa * (a - ma) - y AS e0, my + (ay * bb - yb * ab) / (aa * bb - ab * ab) * (a - ma) + (yb * aa - ay * ab) / (aa * bb - ab * ab) * (b - mb) - y AS e1,
+    my + ay / (1.5 * aa) * (a - ma) - y AS e2, my + (ay * 1.5 * bb - yb * ab) / (2.25 * aa * bb - ab * ab) * (a - ma) + (yb * 1.5 * aa - ay * ab) / (2.25 * aa * bb - ab * ab) * (b - mb) - y AS e3
+    FROM x, m WHERE {tests})
+  SELECT 'base / 0' AS setting, e0 AS e, e0 FROM e UNION ALL SELECT 'base / 0.5', e2, e0 FROM e UNION ALL SELECT 'more / 0', e1, e0 FROM e UNION ALL SELECT 'more / 0.5', e3, e0 FROM e)
+GROUP BY setting"""
+
+
+@query(
+    "WITH x AS (SELECT l_quantity AS a, p_size AS b, l_extendedprice AS y, year(l_shipdate) AS year FROM lineitem JOIN part ON l_partkey = p_partkey)"
+    + " UNION ALL ".join(_fold_sql(str(y), f"year < {y}", f"year = {y}") for y in (1996, 1997, 1998))
+)
+def feature_sets_compared(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices by quantity, with and without size, at two penalties, on three temporal folds: errors, and paired differences from the plain line."""
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = written(lines.select("l_quantity", "p_size", "l_extendedprice", F.year("l_shipdate").alias("year")), "compared")
+    folds = {str(y): (F.col("year") < y, F.col("year") == y) for y in (1996, 1997, 1998)}
+    tested, settings = compare.linear_sets(rows, "l_extendedprice", {"base": ["l_quantity"], "more": ["l_quantity", "p_size"]}, folds, (0.0, 0.5))
+    report = compare.paired(tested, "l_extendedprice", settings, "base / 0")
+    return report.select("fold", "setting", "n", *[r(c, 3).alias(c) for c in ("mae", "rmse", "bias", "change", "change_se")])

@@ -9,6 +9,7 @@ from ..functions import text
 from ..functions.columns import binned, clamp, mapped
 from ..operators import interpolate
 from ..sources.cards import odds_of
+from ..sources.discovery import key_paths
 from .registry import query, r, table
 
 
@@ -227,3 +228,28 @@ def nested_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """A nested field of a built document with the source's fallback chain."""
     doc = F.concat(F.lit('{"dernierRapportDirect":{"rapport":'), F.col("value").cast("string"), F.lit("}}"))
     return table(spark, sf, "events").select("event_id", odds_of(doc).alias("odds"))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority FROM orders),
+l AS (SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem JOIN o ON l_orderkey = o_orderkey),
+s AS (SELECT l_orderkey, count(*) AS items FROM l GROUP BY 1)
+SELECT '' AS path, 'object' AS kinds, count(*) AS n, 3 + min((priority LIKE '1%')::INT) AS least, 3 + max((priority LIKE '1%')::INT) AS most, NULL AS preview FROM s JOIN o ON l_orderkey = o_orderkey
+UNION ALL SELECT 'id', 'integer', count(*), NULL, NULL, min(l_orderkey::VARCHAR) FROM s
+UNION ALL SELECT 'rush', 'boolean', count(*), NULL, NULL, 'true' FROM s JOIN o ON l_orderkey = o_orderkey WHERE priority LIKE '1%' HAVING count(*) > 0
+UNION ALL SELECT 'status', CASE WHEN min((status = 'F')::INT) = 1 THEN 'string' WHEN max((status = 'F')::INT) = 0 THEN 'object' ELSE 'object,string' END, count(*),
+  CASE WHEN min((status = 'F')::INT) = 0 THEN 1 END, CASE WHEN min((status = 'F')::INT) = 0 THEN 1 END, CASE WHEN max((status = 'F')::INT) = 1 THEN '"F"' END FROM s JOIN o ON l_orderkey = o_orderkey
+UNION ALL SELECT 'status["now.is"]', 'string', count(*), NULL, NULL, min('"' || status || '"') FROM s JOIN o ON l_orderkey = o_orderkey WHERE status <> 'F' HAVING count(*) > 0
+UNION ALL SELECT 'lines', 'array', count(*), min(items), max(items), NULL FROM s
+UNION ALL SELECT 'lines[]', 'object', sum(items)::BIGINT, 2, 2, NULL FROM s
+UNION ALL SELECT 'lines[].no', 'integer', count(*), NULL, NULL, min(l_linenumber::VARCHAR) FROM l
+UNION ALL SELECT 'lines[].flag', 'string', count(*), NULL, NULL, min('"' || l_returnflag || '"') FROM l
+""")
+def json_key_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Every path of nested order documents with its kinds, counts, sizes and a preview; one key is optional, one is a text or an object."""
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_returnflag").alias("flag")))).alias("lines"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    status = F.when(F.col("o_orderstatus") == "F", F.lit('"F"')).otherwise(F.format_string('{"now.is":"%s"}', "o_orderstatus"))
+    rush = F.when(F.col("o_orderpriority").startswith("1"), F.lit(',"rush":true')).otherwise("")
+    doc = F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"), F.lit(',"status":'), status, rush, F.lit(',"lines":'), "lines", F.lit("}"))
+    return key_paths(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(doc.alias("doc")))
