@@ -49,6 +49,7 @@ class Settings:
     thin_k_irish: float = 10.0
     k_irish: float = 1.5
     caps: tuple[float, float] | None = None  # allowances are kept between the outer percentiles, or these where they are wider
+    eligibility: str | None = "code"  # "code": by race_code and oldest_age; "name": by race_name and the winners' ages; None: every race
     seeds: dict = field(default_factory=lambda: dict(GOING_SEEDS))
     good_going: tuple[str, ...] = GOOD_GOING
     surface_factors: dict = field(default_factory=lambda: dict(SURFACE_FACTORS))
@@ -56,7 +57,7 @@ class Settings:
 
 UK = Settings()
 FRANCE = Settings(
-    unit=METRES, class_per_furlong=0.0, trim=0.05, passes=2, tolerance=0.0, thin_k=10.0, default_prior=0.05, caps=(-1.5, 2.5), seeds=dict(FRENCH_SEEDS), good_going=FRENCH_GOOD_GOING
+    unit=METRES, class_per_furlong=0.0, trim=0.05, passes=2, tolerance=0.0, thin_k=10.0, default_prior=0.05, caps=(-1.5, 2.5), eligibility="name", seeds=dict(FRENCH_SEEDS), good_going=FRENCH_GOOD_GOING
 )
 CONFIG = ["course", "surface", "distance"]
 
@@ -106,7 +107,7 @@ def standards(wins: DataFrame, allowances: DataFrame | None, s: Settings) -> Dat
         both = wins.groupBy(*CONFIG).agg(F.median(F.when(good, t)).alias("g"), F.count(F.when(good, t)).alias("ng"), F.median(t).alias("a"), F.count(t).alias("n_races"))
         value = F.when(F.col("ng") >= s.least_races, F.col("g")).when(F.col("n_races") >= s.least_races, F.col("a"))
         return both.select(*CONFIG, value.alias("standard"), "n_races", F.lit(False).alias("provisional")).where("standard is not null")
-    corrected = wins.join(allowances.select("meeting_id", "ga"), "meeting_id").withColumn("t", F.col("winner_time") - (s.class_per_furlong + F.col("ga")) * furlongs)
+    corrected = wins.join(allowances.select("meeting_id", "ga"), "meeting_id").withColumn("t", F.col("winner_time") - s.class_per_furlong * furlongs - F.col("ga") * F.col("distance"))
     latest = wins.agg(F.max(F.year("day")).alias("latest"))
     weighed = corrected.crossJoin(F.broadcast(latest)).withColumn("w", F.pow(F.lit(0.5), (F.col("latest") - F.year("day")) / s.half_life))
     if s.trim:
@@ -161,19 +162,35 @@ def allowances(wins: DataFrame, known: DataFrame, s: Settings, priors: DataFrame
     return boosted.crossJoin(F.broadcast(outer)).withColumn("ga", robust.soft_cap(F.col("ga"), F.col("_low"), F.col("_high"), s.caps[0] / s.unit, s.caps[1] / s.unit)).drop("_low", "_high")
 
 
+def live_allowances(runners: DataFrame, known: DataFrame, s: Settings, priors: DataFrame | None = None) -> DataFrame:
+    """allowances() for cards just run, every meeting of the runners included: medians of winsorized deviations, shrunk and boosted, without splits or
+    neighbours; meetings with too few timed races take the prior of their going as it is (n is 0, se null). A missing going counts as good."""
+    timed = with_standard(winners(runners), known).where("standard is not null")
+    deviation = (F.col("winner_time") - s.class_per_furlong * F.col("distance") / s.unit - F.col("standard")) / F.col("distance")
+    kept = robust.without_outliers(timed.withColumn("per_unit", deviation), ["meeting_id"], "per_unit", s.z)
+    middles = robust.winsorized(kept, ["meeting_id"], "per_unit").where(F.col("n") >= s.least_card).select("meeting_id", F.col("winsor_median").alias("_raw"), F.col("winsor_se").alias("se"), "n")
+    meetings = runners.groupBy("meeting_id").agg(F.min("course").alias("course"), F.coalesce(F.min_by("going", "race_no"), F.lit(s.good_going[0])).alias("going"))
+    priors = going_priors(runners.sparkSession, s) if priors is None else priors
+    prior, n = F.coalesce("prior", F.lit(s.default_prior / s.unit)), F.col("n")
+    k = F.when(F.col("course").isin(*IRISH), s.k_irish).otherwise(s.k)
+    shrunk = shrink.boosted((n * F.col("_raw") + k * prior) / (n + k), s.boost_from / s.unit, s.boost * s.unit)
+    joined = meetings.join(middles, "meeting_id", "left").join(priors, "going", "left")
+    return joined.select("meeting_id", F.col("meeting_id").alias("base_id"), F.coalesce(shrunk, prior).alias("ga"), "se", F.coalesce(n, F.lit(0)).alias("n"))
+
+
 def converged(before: DataFrame, after: DataFrame) -> float | None:
     """Mean absolute change of the allowances that both have."""
     return before.select("meeting_id", F.col("ga").alias("old")).join(after, "meeting_id").agg(F.avg(F.abs(F.col("ga") - F.col("old")))).first()[0]
 
 
 def estimate(runners: DataFrame, s: Settings = UK) -> tuple[DataFrame, DataFrame]:
-    """Races that are not fit for standards (by race_code and oldest_age, or by race_name, where runners have them) take part in allowances alone. Standards and allowances by turns, until the allowances move less than the tolerance or the passes are used up. Both are written at each pass."""
+    """Standards and allowances by turns, until the allowances move less than the tolerance or the passes are used up. Both are written at each pass.
+
+    Races that are not fit for standards by the settings' rule take part in allowances alone; where runners lack the columns of the rule, every race counts as fit."""
     wins = written(winners(runners), "winners")
-    fit = wins
-    if {"race_code", "oldest_age"} <= set(wins.columns):
-        fit = eligible(fit)
-    if "race_name" in wins.columns:
-        fit = eligible_french(fit)
+    rules = {"code": ({"race_code", "oldest_age"}, eligible), "name": ({"race_name"}, eligible_french)}
+    needs, rule = rules[s.eligibility] if s.eligibility else (set(), lambda w: w)
+    fit = rule(wins) if needs <= set(wins.columns) else wins
     known = written(standards(fit, None, s), "standards")
     going = written(allowances(wins, known, s), "allowances")
     for _ in range(s.passes):
