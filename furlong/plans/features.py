@@ -4,7 +4,9 @@ history rows need: race_date date, race_time, track, horse_name, placing double,
 stall double, surface, margin string (lengths behind), seconds double, rating double, sire, damsire, headgear, comment, weight double, age double.
 Windows are row lags ordered by date, race time, track and horse; nothing of the row itself or a later one enters a feature (two named exceptions:
 race-wide sums of the pre-race card, and the relative speed's standard, which is the median of its configuration over the whole table).
-All columns of one partitioning are added in one select, so Spark sorts once for each of them."""
+Every partitioning shuffles a row id, its keys and the few columns that it reads (operators.bundle); rows without a key take no part in it and get nulls.
+
+Not here: horse records by jockey pairings beyond trainer and jockey, sectional times, and the margins' field-adjusted form."""
 
 from __future__ import annotations
 
@@ -14,10 +16,15 @@ from pyspark.sql import functions as F
 from ..functions.columns import binned
 from ..functions.text import first_int, ground, margin, pace
 from ..operators import windows as W
+from ..operators.bundle import Family, bundled, ranked
+from ..sources.staging import written
 
 TIE = ["race_date", "race_time", "track", "horse_name"]
 HORSE = (["horse_name"], TIE)
 SPANS = (3, 5, 10)
+PEDIGREE = (("sire",), ("sire", "going"), ("sire", "band"), ("damsire",), ("damsire", "going"), ("damsire", "band"))
+OUTCOMES = ("won", "placed", "nfp")
+STRENGTHS = ("horse_nfp_career", "horse_rb_career", "horse_fsarb_career", "horse_over_chance_career", "horse_speed_career")
 
 
 def card(history: DataFrame) -> DataFrame:
@@ -39,27 +46,41 @@ def card(history: DataFrame) -> DataFrame:
         (F.col("weight") - F.avg("weight").over(race)).alias("weight_vs_mean"), (F.col("weight") - F.min("weight").over(race)).alias("weight_vs_min"),
         F.try_divide(F.col("stall") - 1, n - 1).alias("draw"), F.try_divide(n - rank, n - 1).alias("expected"), (F.try_divide(speed - F.col("seconds"), speed) * 100).alias("speed"),
     )
+    middle = history.agg(F.median("runners").alias("_middle"))  # one row
+    rated = rated.crossJoin(F.broadcast(middle)).withColumn("fsarb", F.col("rb") * n / F.col("_middle")).withColumn("fsarb2", F.col("fsarb") * F.col("fsarb")).drop("_middle")
     return rated.select("*", (F.col("nfp") - F.col("expected")).alias("surprise"), F.sum("prize_merit").over(race).alias("race_merit"), (F.col("won") * F.log1p(F.greatest("price", F.lit(1.0)) - 1)).alias("upset"))
 
 
-def by_horse(runs: DataFrame) -> DataFrame:
+def by_horse() -> Family:
     """A horse's own record before each run."""
     by, order = HORSE
     w = W.ordered(by, order)
     mean = lambda c, last=None, least=1: W.prior_mean(F.col(c), by, order, last, least)
-    out: dict[str, Column] = {"runs": W.prior_count(by, order), "wins": F.coalesce(F.sum("won").over(W.prior(by, order)), F.lit(0.0))}
-    for c in ("nfp", "rb", "over_chance", "odds_ratio", "price_gap", "odds_field", "pace", "pace_adj", "prize_merit", "surprise", "upset", "speed", "lengths", "won", "placed"):
+    k = W.prior_count(by, order)
+    out: dict[str, Column] = {"runs": k, "wins": F.coalesce(F.sum("won").over(W.prior(by, order)), F.lit(0.0)), "places": F.coalesce(F.sum("placed").over(W.prior(by, order)), F.lit(0.0))}
+    for c in ("nfp", "rb", "fsarb", "fsarb2", "over_chance", "odds_ratio", "price_gap", "odds_field", "pace", "pace_adj", "prize_merit", "surprise", "upset", "speed", "lengths", "won", "placed"):
         out[f"{c}_career"] = mean(c)
         out[f"{c}_last"] = F.lag(c).over(w)
+    out["over_chance_total"] = F.sum("over_chance").over(W.prior(by, order))
     for c in ("nfp", "rb", "speed", "lengths", "won", "placed"):
         out |= {f"{c}_mean_{k}": mean(c, k) for k in SPANS}
     for c in ("odds_ratio", "price_gap", "odds_field", "race_merit", "pace", "pace_nfp"):
         out |= {f"{c}_harmonic_{k}": W.harmonic(F.col(c), by, order, k) for k in (3, 5)}
+    for c in ("odds_ratio", "price_gap", "prize", "prize_merit"):
+        out |= {f"{c}_weighted_{k}": W.harmonic_mean(F.col(c), by, order, k) for k in SPANS}
     for c in ("nfp", "rb", "odds_ratio", "surprise"):
         out |= {f"{c}_decayed_{k}": W.decayed(F.col(c), by, order, k, 0.85) for k in (3, 5)}
     out |= {f"{c}_distance": W.distance_to_last(F.col(c), by, order, 10) for c in ("runners", "race_rating")}
-    out |= {"nfp_spread": W.prior_std(F.col("nfp"), by, order), "nfp_spread_5": W.prior_std(F.col("nfp"), by, order, 5), "nfp_slope_5": W.slope_of_last(F.col("nfp"), by, order, 5), "speed_best": F.max("speed").over(W.prior(by, order))}
+    slope = W.slope_of_last(F.col("nfp"), by, order, 3)
+    out |= {"nfp_spread": W.prior_std(F.col("nfp"), by, order), "nfp_spread_5": W.prior_std(F.col("nfp"), by, order, 5), "nfp_slope_3": slope, "nfp_slope_5": W.slope_of_last(F.col("nfp"), by, order, 5), "nfp_variance_5": F.var_pop("nfp").over(W.prior(by, order, 5))}
+    out |= {"slope_up": slope > 0.05, "slope_down": slope < -0.05, "speed_best": F.max("speed").over(W.prior(by, order))}  # the latest run is at 0, so a slope up means that earlier runs were better
     out |= {f"days_{i}": F.date_diff("race_date", F.lag("race_date", i).over(w)) for i in (1, 2, 3, 4)}
+    _, out["days_trend"], out["days_final"] = W.gaps_between(F.col("race_date"), by, order)
+    out["last_score"] = W.place_score(F.lag("placing").over(w))
+    for span in SPANS:
+        held = F.least(k, F.lit(span))
+        weights = F.array(*[F.lit(sum(1 / j for j in range(1, i + 1)) if i else None).cast("double") for i in range(span + 1)])
+        out |= {f"count_{span}": held, f"weights_{span}": F.element_at(weights, (held + 1).cast("int")), f"interval_{span}": F.try_divide(held, F.col("runners") * float(span)) * 100}
     out |= {"class_step": F.col("class_no") - F.lag("class_no").over(w), "class_vs_3": F.col("class_no") - mean("class_no", 3), "weight_step": F.col("weight") - F.lag("weight").over(w)}
     rating = F.col("rating")
     out |= {"rating_step": rating - F.lag("rating").over(w), "rating_step_3": rating - F.lag("rating", 3).over(w), "rating_vs_best": rating - F.max("rating").over(W.prior(by, order)), "rating_vs_winning": rating - W.last_value_when(rating, F.col("won") == 1, by, order)}
@@ -67,63 +88,92 @@ def by_horse(runs: DataFrame) -> DataFrame:
         pref = F.try_divide(F.sum(F.col(c) * F.col("nfp")).over(W.prior(by, order)), F.nullif(F.sum(F.when(F.col(c).isNotNull(), F.col("nfp"))).over(W.prior(by, order)), F.lit(0.0)))
         out |= {f"{c}_preferred": pref, f"{c}_off": F.abs(F.col(c) - pref)}
     worn = F.col("headgear").isNotNull() & (F.trim("headgear") != "")
-    out |= {"gear": worn, "gear_first": worn & (F.coalesce(F.sum(worn.cast("int")).over(W.prior(by, order)), F.lit(0)) == 0), "gear_changed": worn != F.lag(worn).over(w)}
-    return runs.select("*", *[c.alias(f"horse_{name}") for name, c in out.items()])
+    before = F.lag(worn).over(w)
+    out |= {"gear": worn, "gear_first": worn & (F.coalesce(F.sum(worn.cast("int")).over(W.prior(by, order)), F.lit(0)) == 0), "gear_changed": worn != before, "gear_removed": before & ~worn}
+    needs = ("won placed nfp rb fsarb fsarb2 over_chance odds_ratio price_gap odds_field pace pace_adj pace_nfp prize prize_merit race_merit surprise upset speed lengths placing runners race_rating class_no weight rating furlongs going_no headgear").split()
+    return Family(tuple(by), {f"horse_{name}": c for name, c in out.items()}, tuple(TIE + needs))
 
 
-def by_key(runs: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The record of any key before each run: runs, wins, rates against chance and the mean finish."""
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
+def by_key(keys: list[str], name: str) -> Family:
+    """The record of any key before each run: runs, wins, rates against chance, mean finish and pace."""
     by, order = keys, TIE
     expected = F.sum("chance").over(W.prior(by, order))
     out = {
         "runs": W.prior_count(by, order), "wins": F.coalesce(F.sum("won").over(W.prior(by, order)), F.lit(0.0)), "impact": F.try_divide(F.sum("won").over(W.prior(by, order)), F.nullif(expected, F.lit(0.0))),
-        "over_chance": W.prior_mean(F.col("over_chance"), by, order), "nfp": W.prior_mean(F.col("nfp"), by, order), "rate": W.prior_mean(F.col("won"), by, order),
+        "rate": W.prior_mean(F.col("won"), by, order), "over_chance_total": F.sum("over_chance").over(W.prior(by, order)), **{c: W.prior_mean(F.col(c), by, order) for c in ("over_chance", "nfp", "rb", "placed", "pace_adj")},
     }
-    return runs.select("*", *[F.when(known, c).alias(f"{name}_{part}") for part, c in out.items()])
+    return Family(tuple(keys), {f"{name}_{part}": c for part, c in out.items()}, (*TIE, "won", "placed", "chance", "over_chance", "nfp", "rb", "pace_adj"))
 
 
-def hot_form(runs: DataFrame, key: str, days: int) -> DataFrame:
-    """Runs and strike rate of a key within the last days, earlier runs of the day included."""
+def hot_form(key: str, days: int) -> Family:
+    """Runs and strike rate of a key within the last days, earlier runs of the day included, and the rate less that of all its earlier runs."""
     day = F.unix_date("race_date")
     n = W.recent(F.lit(1), [key], day, TIE, days)
     before = Window.partitionBy(key).orderBy(day).rangeBetween(-(days - 1), -1)
     same = Window.partitionBy(key, day).orderBy(*TIE).rowsBetween(Window.unboundedPreceding, -1)
     wins = F.coalesce(F.sum("won").over(before), F.lit(0.0)) + F.coalesce(F.sum("won").over(same), F.lit(0.0))
-    known = F.col(key).isNotNull()
-    return runs.select("*", F.when(known, n).alias(f"{key}_runs_{days}d"), F.when(known, F.try_divide(wins, n)).alias(f"{key}_rate_{days}d"))
+    rate = F.try_divide(wins, n)
+    return Family((key,), {f"{key}_runs_{days}d": n, f"{key}_rate_{days}d": rate, f"{key}_hot_{days}d": rate - W.prior_mean(F.col("won"), [key], TIE)}, (*TIE, "won"))
 
 
-def pedigree(runs: DataFrame, parent: str, k: float = 20.0) -> DataFrame:
-    """A parent's prior results, shrunk to the population's prior mean; the population's running sums are taken by day, then within the day."""
-    days = runs.groupBy("race_date").agg(F.sum("won").alias("_s"), F.count(F.lit(1)).alias("_n"))
+def with_population(runs: DataFrame) -> DataFrame:
+    """runs with all_<outcome>, the mean of each outcome over all earlier runs of anyone: sums by day, then within the day."""
+    parts = [e for c in OUTCOMES for e in (F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"))]
+    days = runs.groupBy("race_date").agg(*parts)
     until = Window.orderBy("race_date").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
-    world = days.select("race_date", F.coalesce(F.sum("_s").over(until), F.lit(0.0)).alias("_s"), F.coalesce(F.sum("_n").over(until), F.lit(0)).alias("_n"))
+    names = [f"_{k}_{c}" for c in OUTCOMES for k in "sn"]
+    world = days.select("race_date", *[F.coalesce(F.sum(x).over(until), F.lit(0)).alias(x) for x in names])
     today = W.prior(["race_date"], TIE)
-    joined = runs.join(world, "race_date")
-    mean = F.try_divide(F.col("_s") + F.coalesce(F.sum("won").over(today), F.lit(0.0)), F.col("_n") + F.count(F.lit(1)).over(today))
-    own = W.prior([parent], TIE)
-    shrunk = (F.coalesce(F.sum("won").over(own), F.lit(0.0)) + k * mean) / (F.count(F.lit(1)).over(own) + k)
-    return joined.select("*", F.when(F.col(parent).isNotNull(), shrunk).alias(f"{parent}_won_shrunk")).drop("_s", "_n")
+    means = [F.try_divide(F.col(f"_s_{c}") + F.coalesce(F.sum(c).over(today), F.lit(0.0)), F.col(f"_n_{c}") + F.count(c).over(today)).alias(f"all_{c}") for c in OUTCOMES]
+    return runs.join(world, "race_date").select(*runs.columns, *means)
+
+
+def pedigree(keys: tuple[str, ...], k: float = 20.0) -> Family:
+    """A parent's prior results, overall or by going or distance, shrunk to those of the population; its runs and wins against chance."""
+    name, own = "_".join(keys), W.prior(list(keys), TIE)
+    shrunk = {f"{name}_{c}_shrunk": (F.coalesce(F.sum(c).over(own), F.lit(0.0)) + k * F.col(f"all_{c}")) / (F.count(c).over(own) + k) for c in OUTCOMES}
+    impact = F.try_divide(F.sum("won").over(own), F.nullif(F.sum("chance").over(own), F.lit(0.0)))
+    return Family(keys, {**shrunk, f"{name}_runs": W.prior_count(list(keys), TIE), f"{name}_impact": impact}, (*TIE, "chance", *OUTCOMES, *[f"all_{c}" for c in OUTCOMES]))
+
+
+RECORDS = (
+    (["trainer"], "trainer"), (["jockey"], "jockey"), (["trainer", "jockey"], "pair"), (["horse_name", "band"], "horse_band"), (["horse_name", "going"], "horse_going"), (["horse_name", "track"], "horse_track"),
+    (["horse_name", "surface"], "horse_surface"), (["trainer", "track"], "trainer_track"), (["jockey", "track"], "jockey_track"),
+)
 
 
-def ranks(runs: DataFrame, columns: list[str]) -> DataFrame:
-    """Ranks of columns within the race, highest first, nulls last."""
-    return runs.select("*", *[W.rank_desc(F.col(c), ["race_id"]).alias(f"{c}_rank") for c in columns])
+def families() -> list[Family]:
+    """What needs the card alone."""
+    return [by_horse(), *[by_key(keys, name) for keys, name in RECORDS], *[hot_form(key, days) for key in ("trainer", "jockey") for days in (14, 30)], *[pedigree(keys) for keys in PEDIGREE]]
+
+
+def later_families() -> list[Family]:
+    """What needs the first families: how strong each horse's last race was, and the places that a jockey's mounts came from."""
+    w = W.ordered(*HORSE)
+    scores = F.try_divide(F.sum("horse_last_score").over(W.prior(["jockey"], TIE)), F.nullif(W.prior_count(["jockey"], TIE), F.lit(0))) * 10
+    lags = {f"race_{c}_last": F.lag(f"race_{c}").over(w) for c in STRENGTHS}
+    return [Family(("horse_name",), lags, (*TIE, *[f"race_{c}" for c in STRENGTHS])), Family(("jockey",), {"jockey_mounts": scores}, (*TIE, "horse_last_score"))]
+
+
+# What is ranked within the race.
+RANKED = (
+    *[f"horse_{c}" for c in ("runs", "wins", "places", "speed_best", "over_chance_total", "days_final", "last_score", "runners_distance", "race_rating_distance")],
+    *[f"horse_{c}_career" for c in ("nfp", "rb", "fsarb", "fsarb2", "over_chance", "odds_ratio", "pace", "pace_adj", "prize_merit", "surprise", "speed", "lengths", "won", "placed")],
+    *[f"horse_{c}_last" for c in ("nfp", "odds_ratio", "pace", "pace_adj", "speed", "lengths")], *[f"horse_{c}_mean_{k}" for c in ("nfp", "speed") for k in SPANS], *[f"horse_{c}_weighted_{k}" for c in ("odds_ratio", "price_gap", "prize_merit") for k in SPANS],
+    *[f"horse_{c}_decayed_3" for c in ("nfp", "odds_ratio")], *[f"{who}_{c}" for who in ("trainer", "jockey", "pair") for c in ("impact", "nfp", "over_chance", "rate")], *[f"{who}_rb" for who in ("trainer", "jockey")], "trainer_pace_adj", "jockey_pace_adj",
+    *[f"{who}_impact" for who in ("horse_band", "horse_going", "horse_track")], *[f"{parent}_{c}_shrunk" for parent in ("sire", "damsire") for c in OUTCOMES], "trainer_hot_14d", "jockey_hot_14d", "rating", "horse_rating_vs_best",
+)
 
 
 def features(history: DataFrame) -> DataFrame:
-    """All feature families, one row for each row of history."""
-    out = by_horse(card(history))
-    for keys, name in ((["trainer"], "trainer"), (["jockey"], "jockey"), (["trainer", "jockey"], "pair"), (["horse_name", "band"], "horse_band"), (["horse_name", "going"], "horse_going"), (["horse_name", "track"], "horse_track"), (["horse_name", "surface"], "horse_surface"), (["trainer", "track"], "trainer_track"), (["jockey", "track"], "jockey_track")):
-        out = by_key(out, keys, name)
-    for key in ("trainer", "jockey"):
-        for days in (14, 30):
-            out = hot_form(out, key, days)
-    for parent in ("sire", "damsire"):
-        out = pedigree(out, parent)
+    """One row for each row of history with every feature family: the card, records by key, pedigree, strength of the race and of the last one, ranks within the race.
+
+    The card and the first families are written once each; what follows reads only the columns it needs from them."""
+    key = "_row"
+    base = written(with_population(card(history)).withColumn(key, F.monotonically_increasing_id()), "card")
+    form = written(bundled(base, key, families()), "form")
     race = Window.partitionBy("race_id")
-    out = out.select("*", *[F.avg(c).over(race).alias(f"race_{c}") for c in ("horse_nfp_career", "horse_rb_career", "horse_over_chance_career", "horse_speed_career")])
-    return ranks(out, ["horse_nfp_career", "horse_speed_best", "horse_odds_ratio_decayed_3", "trainer_impact", "jockey_impact", "rating"])
+    strong = form.select(key, "race_id", *STRENGTHS).select(key, *[F.avg(c).over(race).alias(f"race_{c}") for c in STRENGTHS])
+    later = written(form.select(key, "jockey", "horse_last_score", *TIE).join(strong, key), "strength")
+    out = form.join(bundled(later, key, later_families()).drop("jockey", "horse_last_score", *TIE), key)
+    return out.join(ranked(form, key, "race_id", RANKED), key).drop(key)
