@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,10 +39,6 @@ def dealt_sql(values: Sequence[str], key: str) -> str:
     return f"[{', '.join(map(literal, values))}][{key} % {len(values)} + 1]"
 
 
-def case_sql(x: str, values: Mapping[str, object], default: str = "NULL") -> str:
-    return f"CASE {x} " + " ".join(f"WHEN {literal(k)} THEN {v}" for k, v in values.items()) + f" ELSE {default} END"
-
-
 @query(rf"""
 SELECT event_id, CASE WHEN regexp_matches(c, 'made virtually all|made all|made most|led to\b|led,|led early|led after|led before|led until|led over|soon led') THEN 6.0::DOUBLE
   WHEN regexp_matches(c, 'disputed|disputed lead|with leader') THEN 5.5 WHEN regexp_matches(c, 'chased leader|tracked leader|chased winner') THEN 5.0
@@ -102,7 +98,7 @@ def french_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 SELECT event_id, CASE WHEN contains(t, 'PSF') OR contains(t, 'FIBRE') OR contains(t, 'POLYTRACK') OR contains(t, 'SABLE') OR starts_with(upper(g), 'PSF') THEN 'All Weather' ELSE 'Turf' END AS surface,
-  rnd(coalesce({case_sql("g", scales.FRENCH_SEEDS)}, 0.05)::DOUBLE / 201.168, 8) AS prior
+  rnd(CASE g WHEN 'PSF STANDARD' THEN 0.087 WHEN 'Bon' THEN 0.118 WHEN '' THEN 0.133 WHEN 'Souple' THEN 0.332 WHEN 'Collant' THEN 0.919 WHEN 'Léger' THEN 0.386 WHEN 'Très lourd' THEN 1.534 ELSE 0.05 END::DOUBLE / 201.168, 8) AS prior
 FROM (SELECT event_id, upper({dealt_sql(TRACKS, "event_id")}) AS t, {dealt_sql(FRENCH_GOINGS, "event_id")} AS g FROM events)
 """)
 def french_surfaces(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +109,11 @@ def french_surfaces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT event_id, coalesce({case_sql("g", scales.GOING_SEEDS)}, 0.0)::DOUBLE AS prior, {case_sql("g", {x: literal(k) for k, v in scales.GOING_GROUPS.items() for x in v})} AS going_group
+SELECT event_id, CASE WHEN g = 'Hard' THEN -0.25 WHEN g = 'Firm' THEN -0.21 WHEN g IN ('Good To Firm', 'Good to Firm', 'Gd/Frm') THEN -0.09 WHEN g = 'Fast' THEN -0.03 WHEN g IN ('Standard To Fast', 'Std/Fast') THEN 0.01 WHEN g IN ('Standard', 'Std') THEN 0.04 WHEN g = 'Good' THEN 0.05
+    WHEN g IN ('Standard To Slow', 'Std/Slow', 'Standard/Slow') THEN 0.06 WHEN g IN ('Good to Yielding', 'Good To Yielding', 'Slow') THEN 0.15 WHEN g IN ('Good to Soft', 'Good To Soft', 'Gd/Sft') THEN 0.25 WHEN g = 'Yielding' THEN 0.35 WHEN g = 'Yielding To Soft' THEN 0.4
+    WHEN g = 'Soft' THEN 0.51 WHEN g IN ('Soft To Heavy', 'Sft/Hvy', 'Hvy/Sft') THEN 0.65 WHEN g = 'Heavy' THEN 0.82 ELSE 0 END::DOUBLE AS prior,
+  CASE WHEN g IN ('Hard', 'Firm', 'Fast') THEN 'Firm' WHEN g IN ('Gd/Frm', 'Good To Firm', 'Good to Firm', 'Std/Fast') THEN 'GdFm' WHEN g IN ('Good', 'Standard', 'Std') THEN 'Good'
+    WHEN g IN ('Gd/Sft', 'Good to Soft', 'Good To Yielding', 'Good to Yielding', 'Std/Slow', 'Standard/Slow', 'Standard To Slow', 'Slow') THEN 'GdSft' WHEN g IN ('Soft', 'Yielding', 'Sft/Hvy', 'Hvy/Sft') THEN 'Soft' WHEN g = 'Heavy' THEN 'Heavy' END AS going_group
 FROM (SELECT event_id, {dealt_sql(tuple(scales.GOING_SEEDS) + ("Sodden",), "event_id")} AS g FROM events)
 """)
 def uk_goings(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,7 +125,7 @@ def uk_goings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 SELECT event_id FROM (SELECT event_id, {dealt_sql(KINDS, "event_id")} AS k FROM events)
-WHERE k NOT IN ({", ".join(map(literal, scales.JUMP_RACES))}) AND NOT regexp_matches(lower(k), 'hurdle|chase|bumper|nh flat|national hunt|n\\.?h\\.?\\s')
+WHERE k NOT IN ('Maiden Hurdle', 'Chase', 'NH Flat', 'Bumper', 'National Hunt Flat') AND NOT regexp_matches(lower(k), 'hurdle|chase|bumper|nh flat|national hunt|n\\.?h\\.?\\s')
 """)
 def flat_races(spark: SparkSession, sf: str) -> DataFrame:
     """Races on the flat: neither a known kind of jump race nor one by its words."""
@@ -218,7 +218,7 @@ def _runners(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT race_id, horse, x FROM (SELECT *, max(winner_time) OVER (PARTITION BY race_id) AS w FROM {RUNNERS_SQL} WHERE course NOT IN ({", ".join(map(literal, scales.NOT_FRENCH))}) AND distance > 0) WHERE w > 0
+SELECT race_id, horse, x FROM (SELECT *, max(winner_time) OVER (PARTITION BY race_id) AS w FROM {RUNNERS_SQL} WHERE course NOT IN ('ASC', 'F03', 'ZUR', 'VPR') AND distance > 0) WHERE w > 0
 """)
 def french_validity(spark: SparkSession, sf: str) -> DataFrame:
     """Runners of French races whose winner has a time."""
