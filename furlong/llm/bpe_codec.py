@@ -29,6 +29,8 @@ from .word_units import WHITE, UnitEncoder, units_of
 
 #: Mean bytes of a chunk (the upper eight of the hash's 16 bits are zero at a cut), least and most bytes, and the bound of the broadcast hashes.
 CHUNK, LEAST, MOST, SHARED = 256, 64, 4096, 1 << 20
+#: Units that a worker remembers a generation; a unit's four renderings take some half a kilobyte.
+MEMO = 60_000
 GEAR = np.random.default_rng(16).integers(0, 1 << 16, 256, np.uint16)
 FIRST_WHITE = regex.compile(f"[{WHITE}]")
 LAST_WHITE = regex.compile(f"[{WHITE}](?=[^{WHITE}]*\\Z)")
@@ -236,7 +238,7 @@ def unit_encoder(path: str) -> UnitEncoder:
             return n + m, f"{d} {e}", f"{t} {u}", i + j
         return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]), b"".join([p[3] for p in parts])
 
-    return UnitEncoder(path, render, combine)
+    return UnitEncoder(path, render, combine, MEMO)
 
 
 def signs(path: str) -> tuple[list[str], list[str]]:

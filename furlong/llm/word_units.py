@@ -52,10 +52,11 @@ class Units(dict):
 class UnitEncoder:
     """What a text's units render to, remembered. render makes it of the ids of a word, combine of those of several words.
 
-    Words are held as the units that they would be on their own. Two generations are kept, of about MEMO units each: what is still in use
+    Words are held as the units that they would be on their own. Two generations are kept, of about `memo` units each: what is still in use
     moves to the younger one."""
 
-    def __init__(self, path: str, render: Callable[[list[int]], object], combine: Callable[[list], object]):
+    def __init__(self, path: str, render: Callable[[list[int]], object], combine: Callable[[list], object], memo: int = MEMO):
+        self.memo = memo
         self.tok, self.render, self.combine = tokenizer(path), render, combine
         self.cut = self.tok.model.tokenize
         self.units = Units(self.rendered, {})
@@ -83,6 +84,6 @@ class UnitEncoder:
 
     def renew(self) -> None:
         """Begin a new generation if the younger one is full; to be called between batches."""
-        if len(self.units) > MEMO:
+        if len(self.units) > self.memo:
             self.units.older = {}
             self.units = Units(self.rendered, self.units)
