@@ -31,17 +31,19 @@ t AS (SELECT surface, avg(-e2) AS c3 FROM y WHERE year IN (1999, 2000) GROUP BY
 SELECT l_orderkey, l_extendedprice, rnd(p + (e2 - e) + CASE WHEN year >= 1999 THEN coalesce(c3, 0) ELSE 0 END, 4) AS corrected FROM y LEFT JOIN t USING (surface)
 """)
 def late_corrections(spark: SparkSession, sf: str) -> DataFrame:
-    """Corrections learned on late years: by distance, then by going on what is left, then the drift of a surface, each with its support and shrinkage."""
+    """Corrections learned on late years: by distance, then by going on what is left, then the drift of a surface, each with its support and shrinkage.
+
+    The tables learned have a row for each distance (twelve), going and surface, so they are broadcast: a shuffle by such keys would put a third of all rows in one task."""
     rows = rated(spark, sf)
     late = F.col("year") >= 1999
     bounded = F.greatest(F.least(F.sum(-F.col("e")) / (F.count(F.lit(1)) + 500), F.lit(8.0)), F.lit(-8.0))
     by_distance = rows.where(late).groupBy("furlongs").agg(bounded.alias("c1"), F.count(F.lit(1)).alias("n")).where("n >= 100").drop("n")
-    one = rows.join(by_distance, "furlongs", "left").withColumn("e1", F.col("e") + F.coalesce("c1", F.lit(0.0)))
+    one = rows.join(F.broadcast(by_distance), "furlongs", "left").withColumn("e1", F.col("e") + F.coalesce("c1", F.lit(0.0)))
     by_going = one.where(late).groupBy("going").agg((F.sum(-F.col("e1")) / (F.count(F.lit(1)) + 500)).alias("c2"), F.count(F.lit(1)).alias("n")).where("n >= 200").drop("n")
-    two = one.join(by_going, "going", "left").withColumn("e2", F.col("e1") + F.coalesce("c2", F.lit(0.0)))
+    two = one.join(F.broadcast(by_going), "going", "left").withColumn("e2", F.col("e1") + F.coalesce("c2", F.lit(0.0)))
     drift = two.where(F.col("year").isin(1999, 2000)).groupBy("surface").agg(F.avg(-F.col("e2")).alias("c3"), F.count(F.lit(1)).alias("n")).where("n > 500").drop("n")
     moved = F.when(late, F.coalesce("c3", F.lit(0.0))).otherwise(0.0)
-    return two.join(drift, "surface", "left").select("l_orderkey", "l_extendedprice", r(F.col("p") + (F.col("e2") - F.col("e")) + moved).alias("corrected"))
+    return two.join(F.broadcast(drift), "surface", "left").select("l_orderkey", "l_extendedprice", r(F.col("p") + (F.col("e2") - F.col("e")) + moved).alias("corrected"))
 
 
 @query(f"""
@@ -130,7 +132,7 @@ def held_out_simulation(spark: SparkSession, sf: str) -> DataFrame:
     rows = rated(spark, sf)
     taught = rows.where("year <= 1999").groupBy("surface").agg((-shrink.toward_zero(F.col("e"), 100.0)).alias("c"))
     after = F.col("e") + F.col("c")
-    return rows.where("year > 1999").join(taught, "surface").groupBy("surface").agg(
+    return rows.where("year > 1999").join(F.broadcast(taught), "surface").groupBy("surface").agg(
         F.count(F.lit(1)).alias("n"), r(F.avg(F.abs("e"))).alias("mae_before"), r(F.avg(F.abs(after))).alias("mae_after"), r(F.avg("e")).alias("bias_before"), r(F.avg(after)).alias("bias_after")
     )
 
