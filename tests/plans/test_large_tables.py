@@ -24,6 +24,15 @@ def no_small_tables(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_mean_at_the_threshold_does_not_depend_on_the_order_of_its_sum(spark, tmp_path):
+    cents = [8, 6, 0, 2, 3, 6, 5, 3, 1, 10, 6, 5, 0, 9, 1, 3, 5, 5, 0, 10, 6, 9, 4, 6, 4, 10, 8, 2, 2, 8, 9, 2, 10, 0, 9, 0, 6, 3, 3, 7]
+    assert sum(cents) / 100 / 40 == 0.049 and abs(reduce(add, [c / 100 for c in cents]) / 40 - 0.05) < 0.001 < abs(0.049 - 0.05)
+    line = spark.read.parquet(f"{SF}/lineitem.parquet").limit(1)
+    given = F.explode(F.array(*[F.lit(c / 100) for c in cents]))
+    line.withColumn("l_suppkey", F.lit(7).cast("long")).withColumn("l_discount", given).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [tuple(row) for row in QUERIES["course_bias"](spark, str(tmp_path)).collect()] == [(7, 0.049, 40)]
+
+
 @pytest.mark.parametrize("name", ["late_corrections", "held_out_simulation"])
 def test_corrections_by_a_few_keys_do_not_shuffle_the_rows_they_correct(spark, no_small_tables, name):
     found = plan(QUERIES[name](spark, SF))
