@@ -21,10 +21,12 @@ def origin_slope(x: Column, y: Column, ridge: float = 1e-6) -> Column:
 
 
 def parabola(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
-    """Per key: b0, b1, b2 of y = b0 + b1 (x - m) + b2 (x - m)^2 and x_mean m, from centred moments in two aggregates."""
+    """Per key: b0, b1, b2 of y = b0 + b1 (x - m) + b2 (x - m)^2 and x_mean m, from centred moments in two aggregates.
+
+    Keys are those of fitted curves, so few; their means are broadcast, as a key may hold most of the rows."""
     means = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by).agg(F.avg(x).alias("x_mean"))
     d = F.col(x) - F.col("x_mean")
-    sums = df.join(means, list(by)).groupBy(*by).agg(
+    sums = df.join(F.broadcast(means), list(by)).groupBy(*by).agg(
         F.first("x_mean").alias("x_mean"), F.count(d * F.col(y)).alias("n"), *[F.sum(F.when(F.col(y).isNotNull(), d**k)).alias(f"s{k}") for k in (1, 2, 3, 4)],
         F.sum(F.col(y)).alias("t0"), F.sum(d * F.col(y)).alias("t1"), F.sum(d**2 * F.col(y)).alias("t2"),
     )
@@ -36,9 +38,9 @@ def parabola(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
 
 
 def rescaled(df: DataFrame, by: Sequence[str], x: str, y: str, name: str) -> DataFrame:
-    """(x - mean x) * slope + mean y by key, slope that of y on x."""
+    """(x - mean x) * slope + mean y by key, slope that of y on x. The fits of the keys are broadcast."""
     fit = df.groupBy(*by).agg(F.regr_slope(y, x).alias("_s"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"))
-    return df.join(fit, list(by)).withColumn(name, (F.col(x) - F.col("_mx")) * F.col("_s") + F.col("_my")).drop("_s", "_mx", "_my")
+    return df.join(F.broadcast(fit), list(by)).withColumn(name, (F.col(x) - F.col("_mx")) * F.col("_s") + F.col("_my")).drop("_s", "_mx", "_my")
 
 
 def robust_scale(x: Column, median: Column, q1: Column, q3: Column, centre: float, spread: float, low: float = 0.3, high: float = 2.0) -> Column:

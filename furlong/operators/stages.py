@@ -97,11 +97,11 @@ def curves(name: str, figure: str, target: str, keys: Mapping[str, Column | str]
         keyed, names = _keyed(train, keys)
         arcs = calibrate.parabola(keyed, names, figure, target)
         lines = keyed.groupBy(*names).agg(*calibrate.line(x, F.col(target)))
-        both = arcs.join(lines, names).where(F.col("n") >= least)
+        both = written(arcs.join(lines, names).where(F.col("n") >= least), name)  # a row a key
         d = x - F.col("x_mean")
         arc_miss = F.avg((F.col("b0") + F.col("b1") * d + F.col("b2") * d * d - F.col(target)) ** 2)
         line_miss = F.avg((F.col("slope") * x + F.col("intercept") - F.col(target)) ** 2)
-        misses = keyed.join(both, names).groupBy(*names).agg(F.coalesce(arc_miss < gain * line_miss, F.lit(False)).alias("curved"))
+        misses = keyed.join(F.broadcast(both), names).groupBy(*names).agg(F.coalesce(arc_miss < gain * line_miss, F.lit(False)).alias("curved"))
         return both.join(misses, names)
 
     d = x - F.col("_fit.x_mean")

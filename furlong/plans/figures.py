@@ -253,8 +253,8 @@ def calibrate(rated: DataFrame, target: str, figure: str = "adjusted", name: str
     flat = known.groupBy("surface").agg(F.regr_slope(target, figure).alias("slope"), F.regr_intercept(target, figure).alias("intercept"))
     fits = curve.join(flat, "surface").where("n >= 100")
     line, arc = F.col("slope") * F.col(figure) + F.col("intercept"), F.col("b0") + F.col("b1") * (F.col(figure) - F.col("x_mean")) + F.col("b2") * (F.col(figure) - F.col("x_mean")) ** 2
-    miss = known.join(fits, "surface").groupBy("surface").agg((F.avg((arc - F.col(target)) ** 2) < 0.999 * F.avg((line - F.col(target)) ** 2)).alias("curved"))
-    based = rated.join(fits.join(miss, "surface").drop("n"), "surface", "left").withColumn("_base", F.coalesce(F.when(F.col("curved"), arc).otherwise(line), F.col(figure))).drop(*[c for c in fits.columns if c not in ("surface", "n")], "curved")
+    miss = known.join(F.broadcast(fits), "surface").groupBy("surface").agg((F.avg((arc - F.col(target)) ** 2) < 0.999 * F.avg((line - F.col(target)) ** 2)).alias("curved"))
+    based = rated.join(F.broadcast(fits.join(miss, "surface").drop("n")), "surface", "left").withColumn("_base", F.coalesce(F.when(F.col("curved"), arc).otherwise(line), F.col(figure))).drop(*[c for c in fits.columns if c not in ("surface", "n")], "curved")
     banded = based.withColumn("_band", F.when(F.col("position") == 1, "winner").otherwise(binned(F.col("beaten"), [0, 1, 3, 5, 10, 15, 20], "other"))).withColumn("_age", F.least(F.greatest("age", F.lit(2)), F.lit(4))).withColumn("_going", F.coalesce(going_group(F.col("going")), F.col("going")))
     rest = F.when(valid_target(F.col(target), F.col(figure)), F.col(target) - F.col("_base"))
     layers = [(["surface", "race_class"], 0.0, None), (["surface", "course", "distance"], 100.0, 10.0), (["surface", "_going"], 100.0, None), (["surface", "_band"], 100.0, None), (["surface", "_age"], 100.0, None)]

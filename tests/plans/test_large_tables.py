@@ -6,6 +6,7 @@ from operator import add
 import pytest
 from pyspark.sql import functions as F
 
+from furlong.operators import calibrate
 from furlong.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +38,9 @@ def test_a_mean_at_the_threshold_does_not_depend_on_the_order_of_its_sum(spark,
 def test_corrections_by_a_few_keys_do_not_shuffle_the_rows_they_correct(spark, no_small_tables, name):
     found = plan(QUERIES[name](spark, SF))
     assert "SortMergeJoin" not in found and "ShuffledHashJoin" not in found
+
+
+def test_curves_by_a_few_keys_do_not_shuffle_the_rows_they_are_fitted_on(spark, no_small_tables):
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    for fitted in (calibrate.parabola(part, ["p_brand"], "p_size", "p_retailprice"), calibrate.rescaled(part, ["p_brand"], "p_size", "p_retailprice", "v")):
+        assert "SortMergeJoin" not in plan(fitted) and "ShuffledHashJoin" not in plan(fitted)
