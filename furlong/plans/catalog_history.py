@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import prefix, ranks
 from ..operators import windows as W
+from ..sources.staging import dealt
 from .registry import query, r, table
 
 USER, WHEN = ["user_id"], ["ts", "event_id"]
@@ -100,7 +101,7 @@ def expect_residual(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised finish less that expected from the market's rank."""
     n = F.count(F.lit(1)).over(Window.partitionBy("l_orderkey"))
     beaten = lambda c: F.try_divide((n - W.rank_desc(F.col(c), ["l_orderkey"])).cast("double"), n - 1)
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", r(beaten("l_discount") - beaten("l_quantity")).alias("residual"))
+    return dealt(table(spark, sf, "lineitem"), "l_orderkey").select("l_orderkey", "l_extendedprice", r(beaten("l_discount") - beaten("l_quantity")).alias("residual"))
 
 
 @query(f"""
@@ -211,7 +212,7 @@ def relative_draw(spark: SparkSession, sf: str) -> DataFrame:
     i, n = F.row_number().over(W.ordered(["l_orderkey"], ["l_extendedprice"])), F.count(F.lit(1)).over(Window.partitionBy("l_orderkey"))
     d = F.try_divide((i - 1).cast("double"), n - 1)
     quarter = F.when(d <= 0.25, 1).when(d <= 0.5, 2).when(d <= 0.75, 3).when(d.isNotNull(), 4)
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", r(d).alias("draw"), quarter.alias("quarter"))
+    return dealt(table(spark, sf, "lineitem"), "l_orderkey").select("l_orderkey", "l_extendedprice", r(d).alias("draw"), quarter.alias("quarter"))
 
 
 @query(f"""

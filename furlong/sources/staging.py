@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -19,6 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def dealt(df: DataFrame, *keys: str, rows: int = 500_000) -> DataFrame:
+    """df shuffled by keys into as many tasks as take about `rows` rows each, at least the session's shuffle partitions.
+
+    Windows and groupings by these keys then sort about as many rows in a task, however large the table is. The rows are counted first."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, math.ceil(df.count() / rows)), *keys)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written once and read back."""
     path = f"{shared_folder(df.sparkSession)}/furlong-{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from furlong.operators import calibrate
 from furlong.plans.catalog import QUERIES
+from furlong.sources.staging import dealt
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +45,15 @@ def test_curves_by_a_few_keys_do_not_shuffle_the_rows_they_are_fitted_on(spark,
     part = spark.read.parquet(f"{SF}/part.parquet")
     for fitted in (calibrate.parabola(part, ["p_brand"], "p_size", "p_retailprice"), calibrate.rescaled(part, ["p_brand"], "p_size", "p_retailprice", "v")):
         assert "SortMergeJoin" not in plan(fitted) and "ShuffledHashJoin" not in plan(fitted)
+
+
+def test_tasks_grow_in_number_with_the_rows(spark):
+    rows = spark.range(1000).selectExpr("id % 300 as k", "id")
+    assert dealt(rows, "k").rdd.getNumPartitions() == 4 and dealt(rows.where("false"), "k").rdd.getNumPartitions() == 4
+    many = dealt(rows, "k", rows=90)
+    assert many.rdd.getNumPartitions() == 12 and many.count() == 1000
+
+
+@pytest.mark.parametrize("name", ["expect_residual", "relative_draw"])
+def test_windows_within_races_take_rows_dealt_by_their_number(spark, name):
+    assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, SF))
