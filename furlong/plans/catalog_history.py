@@ -189,7 +189,7 @@ SELECT l_orderkey, l_extendedprice, rank() OVER (PARTITION BY l_orderkey ORDER B
 """)
 def race_ranks(spark: SparkSession, sf: str) -> DataFrame:
     """Ranks within a race, nulls last, and ranks with ties averaged."""
-    lines = table(spark, sf, "lineitem").withColumn("q", F.when(F.col("l_returnflag") != "R", F.col("l_quantity")))
+    lines = dealt(table(spark, sf, "lineitem"), "l_orderkey").withColumn("q", F.when(F.col("l_returnflag") != "R", F.col("l_quantity")))
     by = ["l_orderkey"]
     return lines.select("l_orderkey", "l_extendedprice", W.rank_desc(F.col("q"), by).alias("q_rank"), W.rank_desc(F.col("l_discount"), by).alias("d_rank"), W.average_rank(F.col("l_tax"), by).cast("double").alias("tax_rank"))
 

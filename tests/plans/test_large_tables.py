@@ -54,6 +54,6 @@ def test_tasks_grow_in_number_with_the_rows(spark):
     assert many.rdd.getNumPartitions() == 12 and many.count() == 1000
 
 
-@pytest.mark.parametrize("name", ["expect_residual", "relative_draw"])
+@pytest.mark.parametrize("name", ["expect_residual", "race_ranks", "relative_draw"])
 def test_windows_within_races_take_rows_dealt_by_their_number(spark, name):
     assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, SF))
