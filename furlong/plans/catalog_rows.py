@@ -10,6 +10,7 @@ from ..functions.columns import binned, clamp, mapped
 from ..operators import interpolate
 from ..sources.cards import odds_of
 from ..sources.discovery import key_paths
+from ..sources.staging import dealt
 from .registry import query, r, table
 
 
@@ -247,7 +248,7 @@ UNION ALL SELECT 'lines[].flag', 'string', count(*), NULL, NULL, min('"' || l_re
 """)
 def json_key_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Every path of nested order documents with its kinds, counts, sizes and a preview; one key is optional, one is a text or an object."""
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_returnflag").alias("flag")))).alias("lines"))
+    lines = dealt(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_orderkey").groupBy("l_orderkey").agg(F.to_json(F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_returnflag").alias("flag")))).alias("lines"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     status = F.when(F.col("o_orderstatus") == "F", F.lit('"F"')).otherwise(F.format_string('{"now.is":"%s"}', "o_orderstatus"))
     rush = F.when(F.col("o_orderpriority").startswith("1"), F.lit(',"rush":true')).otherwise("")

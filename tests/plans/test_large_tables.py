@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from furlong.operators import calibrate
+from furlong.plans import catalog_rows
 from furlong.plans.catalog import QUERIES
 from furlong.sources.staging import dealt
 
@@ -57,3 +58,9 @@ def test_tasks_grow_in_number_with_the_rows(spark):
 @pytest.mark.parametrize("name", ["expect_residual", "race_ranks", "relative_draw"])
 def test_windows_within_races_take_rows_dealt_by_their_number(spark, name):
     assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, SF))
+
+
+def test_documents_are_gathered_from_lines_dealt_by_their_number(spark, monkeypatch):
+    keys = []
+    monkeypatch.setattr(catalog_rows, "dealt", lambda df, *by: keys.append(by) or dealt(df, *by))
+    assert QUERIES["json_key_paths"](spark, SF).count() > 0 and keys == [("l_orderkey",)]
