@@ -6,7 +6,7 @@ groups in one shuffle: values go long next to their group, are ranked by (group,
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +35,12 @@ def grouped(families: Sequence[Family]) -> list[Family]:
     return list(out.values())
 
 
+def chosen(families: Sequence[Family], names: Collection[str]) -> list[Family]:
+    """The families with those of their columns that are named; families without any are left out."""
+    cut = [Family(f.keys, {name: c for name, c in f.columns.items() if name in names}, f.needs) for f in families]
+    return [f for f in cut if f.columns]
+
+
 def bundled(rows: DataFrame, row_id: str, families: Sequence[Family]) -> DataFrame:
     """rows with the columns of all families. row_id must be unique and the same at each reading, so rows should come from a written table.
 

@@ -72,5 +72,5 @@ ROUNDED = (
 
 @query(SQL)
 def form_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns of every kind of family, from features() as a whole; ranks whose values are counts or given, as other engines break ties of computed means otherwise."""
-    return features(history(spark, sf)).select("race_time", "horse_name", *EXACT, *[r(c).alias(c) for c in ROUNDED])
+    """Columns of every kind of family, by features(), which is asked for these alone; ranks whose values are counts or given, as other engines break ties of computed means otherwise."""
+    return features(history(spark, sf), {*EXACT, *ROUNDED}).select("race_time", "horse_name", *EXACT, *[r(c).alias(c) for c in ROUNDED])

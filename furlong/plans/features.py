@@ -10,13 +10,15 @@ Not here: horse records by jockey pairings beyond trainer and jockey, sectional
 
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import binned
 from ..functions.text import first_int, ground, margin, pace
 from ..operators import windows as W
-from ..operators.bundle import Family, bundled, ranked
+from ..operators.bundle import Family, bundled, chosen, ranked
 from ..sources.staging import written
 
 TIE = ["race_date", "race_time", "track", "horse_name"]
@@ -147,12 +149,12 @@ def families() -> list[Family]:
     return [by_horse(), *[by_key(keys, name) for keys, name in RECORDS], *[hot_form(key, days) for key in ("trainer", "jockey") for days in (14, 30)], *[pedigree(keys) for keys in PEDIGREE]]
 
 
-def later_families() -> list[Family]:
+def later_families(strengths: Sequence[str] = STRENGTHS) -> list[Family]:
     """What needs the first families: how strong each horse's last race was, and the places that a jockey's mounts came from."""
     w = W.ordered(*HORSE)
     scores = F.try_divide(F.sum("horse_last_score").over(W.prior(["jockey"], TIE)), F.nullif(W.prior_count(["jockey"], TIE), F.lit(0))) * 10
-    lags = {f"race_{c}_last": F.lag(f"race_{c}").over(w) for c in STRENGTHS}
-    return [Family(("horse_name",), lags, (*TIE, *[f"race_{c}" for c in STRENGTHS])), Family(("jockey",), {"jockey_mounts": scores}, (*TIE, "horse_last_score"))]
+    lags = {f"race_{c}_last": F.lag(f"race_{c}").over(w) for c in strengths}
+    return [Family(("horse_name",), lags, (*TIE, *[f"race_{c}" for c in strengths])), Family(("jockey",), {"jockey_mounts": scores}, (*TIE, "horse_last_score"))]
 
 
 # What is ranked within the race.
@@ -165,15 +167,26 @@ RANKED = (
 )
 
 
-def features(history: DataFrame) -> DataFrame:
+def features(history: DataFrame, columns: Collection[str] | None = None) -> DataFrame:
     """One row for each row of history with every feature family: the card, records by key, pedigree, strength of the race and of the last one, ranks within the race.
 
+    columns: those of the card and the features that are asked for, if not all; only what they need is computed, shuffled and written, and the order (TIE), race_id and jockey come with them.
     The card and the first families are written once each; what follows reads only the columns it needs from them."""
     key = "_row"
+    asked = lambda c: columns is None or c in columns
+    strengths = [c for c in STRENGTHS if asked(f"race_{c}") or asked(f"race_{c}_last")]
+    places = [c for c in RANKED if asked(f"{c}_rank")]
+    first, later_ones = families(), later_families(strengths)
     base = written(with_population(card(history)).withColumn(key, F.monotonically_increasing_id()), "card")
-    form = written(bundled(base, key, families()), "form")
+    if columns is None:
+        wide = bundled(base, key, first)
+    else:
+        read = {key, "race_id", "jockey", *TIE, "horse_last_score", *columns, *places, *strengths}
+        wide = bundled(base, key, chosen(first, read))
+        wide, later_ones = wide.select(*[c for c in wide.columns if c in read]), chosen(later_ones, columns)
+    form = written(wide, "form")
     race = Window.partitionBy("race_id")
-    strong = form.select(key, "race_id", *STRENGTHS).select(key, *[F.avg(c).over(race).alias(f"race_{c}") for c in STRENGTHS])
+    strong = form.select(key, "race_id", *strengths).select(key, *[F.avg(c).over(race).alias(f"race_{c}") for c in strengths])
     later = written(form.select(key, "jockey", "horse_last_score", *TIE).join(strong, key), "strength")
-    out = form.join(bundled(later, key, later_families()).drop("jockey", "horse_last_score", *TIE), key)
-    return out.join(ranked(form, key, "race_id", RANKED), key).drop(key)
+    out = form.join(bundled(later, key, later_ones).drop("jockey", "horse_last_score", *TIE), key)
+    return (out.join(ranked(form, key, "race_id", places), key) if places else out).drop(key)

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from furlong.operators import calibrate
-from furlong.plans import catalog_rows
+from furlong.plans import catalog_rows, features
 from furlong.plans.catalog import QUERIES
-from furlong.sources.staging import dealt
+from furlong.sources.staging import dealt, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,3 +64,10 @@ def test_documents_are_gathered_from_lines_dealt_by_their_number(spark, monkeypa
     keys = []
     monkeypatch.setattr(catalog_rows, "dealt", lambda df, *by: keys.append(by) or dealt(df, *by))
     assert QUERIES["json_key_paths"](spark, SF).count() > 0 and keys == [("l_orderkey",)]
+
+
+def test_features_that_are_not_asked_for_are_not_written(spark, monkeypatch):
+    wide = {}
+    monkeypatch.setattr(features, "written", lambda df, name: wide.setdefault(name, df.columns) and written(df, name))
+    QUERIES["form_features"](spark, SF)
+    assert len(wide["form"]) < 50 and "horse_speed_career" not in wide["form"] and "horse_nfp_career" in wide["form"]
