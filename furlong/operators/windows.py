@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 Keys = Sequence[str | Column]
@@ -118,3 +118,72 @@ def rank_desc(x: Column, by: Keys) -> Column:
 def average_rank(x: Column, by: Keys) -> Column:
     """Rank from the lowest value with ties averaged."""
     return F.rank().over(Window.partitionBy(*by).orderBy(x)) + (F.count(F.lit(1)).over(Window.partitionBy(*by, x)) - 1) / 2
+
+
+class Earlier:
+    """Sums over a key's earlier rows, and over those of its last days; 0 where there are none. day: the column of the day."""
+
+    def __init__(self, by: Sequence[str], order: Sequence[str], day: str):
+        self.by, self.order, self.day = list(by), list(order), day
+
+    def sum(self, c: str) -> Column:
+        return F.coalesce(F.sum(c).over(prior(self.by, self.order)), F.lit(0.0))
+
+    def count(self, c: str | None = None) -> Column:
+        """Rows, or those with a value."""
+        return F.count(F.lit(1) if c is None else c).over(prior(self.by, self.order))
+
+    def mean(self, c: str) -> Column:
+        return self.sum(c) / F.nullif(self.count(c), F.lit(0))
+
+    def recent(self, c: str | None, days: int) -> Column:
+        """The sum (without a column: the rows) within the last days, earlier rows of the day included."""
+        return F.coalesce(recent(F.lit(1) if c is None else F.col(c), self.by, F.unix_date(self.day), self.order, days), F.lit(0))
+
+
+class BySegment(Earlier):
+    """The same from segments of the order: what earlier segments sum to comes from small tables, the rest from a window within the segment.
+
+    Rows have a row id that ascends in the order, by monotonically_increasing_id() over sorted partitions; a partition is a segment. bundle.segmented() joins the tables."""
+
+    ROW = "_row"
+
+    def __init__(self, by: Sequence[str], day: str):
+        super().__init__(by, [self.ROW], day)
+        self.terms: dict[str, Column] = {}
+        self.spans: set[int] = set()
+        self.name = "_".join(["_before", *self.by])
+
+    @classmethod
+    def segment(cls) -> Column:
+        return F.shiftright(cls.ROW, 33)  # the partition, by the form of these ids
+
+    def _taken(self, term: str, total: Column) -> Column:
+        self.terms[term] = total
+        within = prior(["_segment", *self.by], self.order)
+        return F.coalesce(F.col(f"{self.name}.{term}"), F.lit(0)) + F.coalesce(total.over(within), F.lit(0))
+
+    def sum(self, c: str) -> Column:
+        return self._taken(f"s_{c}", F.sum(c)).cast("double")
+
+    def count(self, c: str | None = None) -> Column:
+        return self._taken(f"n_{c}" if c else "n", F.count(F.lit(1) if c is None else c))
+
+    def recent(self, c: str | None, days: int) -> Column:
+        self.spans.add(days)
+        return (self.count() if c is None else self.sum(c)) - F.coalesce(F.col(f"{self.name}_{days}.{f's_{c}' if c else 'n'}"), F.lit(0))
+
+    def tables(self, rows: DataFrame, used: Collection[str]) -> dict[str, DataFrame]:
+        """By name, those that hold used sums (name.sum): each segment's and key's sums over earlier segments, and each day's and key's sums over the days before a span. rows have _segment."""
+        known = rows.where(" and ".join(f"{k} is not null" for k in self.by)) if self.by else rows
+
+        parts = Window.partitionBy(*self.by)
+        until = {self.name: ("_segment", parts.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1))}
+        for days in self.spans:
+            until[f"{self.name}_{days}"] = self.day, parts.orderBy(F.unix_date(self.day)).rangeBetween(Window.unboundedPreceding, -days)
+        out = {}
+        for name, (at, earlier) in until.items():
+            if terms := [t for t in self.terms if f"{name}.{t}" in used]:
+                sums = known.groupBy(at, *self.by).agg(*[self.terms[t].alias(t) for t in terms])
+                out[name] = sums.select(at, *self.by, F.struct(*[F.sum(t).over(earlier).alias(t) for t in terms]).alias(name))
+        return out

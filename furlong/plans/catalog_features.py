@@ -14,7 +14,8 @@ BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
     """A run for each order and part; the dearest part of an order wins."""
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+    read = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag")
+    lines = read.repartition("l_orderkey").groupBy("l_orderkey", "l_partkey").agg(  # one shuffle serves the sums, the join and the windows
         F.round(F.sum("l_extendedprice"), 2).alias("x"), F.min("l_suppkey").alias("s"), F.min("l_linenumber").alias("no"), F.min("l_quantity").alias("q"), F.min("l_tax").alias("tax"), F.min("l_returnflag").alias("flag")
     )
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("race_date"), F.col("o_orderstatus").alias("track"), "o_orderpriority")

@@ -4,13 +4,14 @@ history rows need: race_date date, race_time, track, horse_name, placing double,
 stall double, surface, margin string (lengths behind), seconds double, rating double, sire, damsire, headgear, comment, weight double, age double.
 Windows are row lags ordered by date, race time, track and horse; nothing of the row itself or a later one enters a feature (two named exceptions:
 race-wide sums of the pre-race card, and the relative speed's standard, which is the median of its configuration over the whole table).
-Every partitioning shuffles a row id, its keys and the few columns that it reads (operators.bundle); rows without a key take no part in it and get nulls.
+Rows are sorted once and numbered in that order; every partitioning shuffles this number, its keys and the few columns that it reads (operators.bundle); rows without a key take no part in it and get nulls.
+Records by keys of few values go by segments of the order instead, so no task holds such a key.
 
 Not here: horse records by jockey pairings beyond trainer and jockey, sectional times, and the margins' field-adjusted form."""
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,11 +19,13 @@ from pyspark.sql import functions as F
 from ..functions.columns import binned
 from ..functions.text import first_int, ground, margin, pace
 from ..operators import windows as W
-from ..operators.bundle import Family, bundled, chosen, ranked
+from ..operators.bundle import Family, bundled, chosen, ranked, read, segmented
 from ..sources.staging import written
 
 TIE = ["race_date", "race_time", "track", "horse_name"]
-HORSE = (["horse_name"], TIE)
+ROW = W.BySegment.ROW  # ascends in the order of TIE
+HORSE = (["horse_name"], [ROW])
+FEW = 100  # keys of at most so many values go by segments
 SPANS = (3, 5, 10)
 PEDIGREE = (("sire",), ("sire", "going"), ("sire", "band"), ("damsire",), ("damsire", "going"), ("damsire", "band"))
 OUTCOMES = ("won", "placed", "nfp")
@@ -93,49 +96,37 @@ def by_horse() -> Family:
     before = F.lag(worn).over(w)
     out |= {"gear": worn, "gear_first": worn & (F.coalesce(F.sum(worn.cast("int")).over(W.prior(by, order)), F.lit(0)) == 0), "gear_changed": worn != before, "gear_removed": before & ~worn}
     needs = ("won placed nfp rb fsarb fsarb2 over_chance odds_ratio price_gap odds_field pace pace_adj pace_nfp prize prize_merit race_merit surprise upset speed lengths placing runners race_rating class_no weight rating furlongs going_no headgear").split()
-    return Family(tuple(by), {f"horse_{name}": c for name, c in out.items()}, tuple(TIE + needs))
+    return Family(tuple(by), {f"horse_{name}": c for name, c in out.items()}, ("race_date", *needs))
 
 
-def by_key(keys: list[str], name: str) -> Family:
+def by_key(keys: Sequence[str], name: str, sums: W.Earlier) -> Family:
     """The record of any key before each run: runs, wins, rates against chance, mean finish and pace."""
-    by, order = keys, TIE
-    expected = F.sum("chance").over(W.prior(by, order))
     out = {
-        "runs": W.prior_count(by, order), "wins": F.coalesce(F.sum("won").over(W.prior(by, order)), F.lit(0.0)), "impact": F.try_divide(F.sum("won").over(W.prior(by, order)), F.nullif(expected, F.lit(0.0))),
-        "rate": W.prior_mean(F.col("won"), by, order), "over_chance_total": F.sum("over_chance").over(W.prior(by, order)), **{c: W.prior_mean(F.col(c), by, order) for c in ("over_chance", "nfp", "rb", "placed", "pace_adj")},
+        "runs": sums.count().cast("long"), "wins": sums.sum("won"), "impact": F.try_divide(sums.sum("won"), F.nullif(sums.sum("chance"), F.lit(0.0))), "rate": sums.mean("won"),
+        "over_chance_total": F.when(sums.count("over_chance") > 0, sums.sum("over_chance")), **{c: sums.mean(c) for c in ("over_chance", "nfp", "rb", "placed", "pace_adj")},
     }
-    return Family(tuple(keys), {f"{name}_{part}": c for part, c in out.items()}, (*TIE, "won", "placed", "chance", "over_chance", "nfp", "rb", "pace_adj"))
+    return Family(tuple(keys), {f"{name}_{part}": c for part, c in out.items()}, ("won", "placed", "chance", "over_chance", "nfp", "rb", "pace_adj"))
 
 
-def hot_form(key: str, days: int) -> Family:
+def hot_form(key: str, days: int, sums: W.Earlier) -> Family:
     """Runs and strike rate of a key within the last days, earlier runs of the day included, and the rate less that of all its earlier runs."""
-    day = F.unix_date("race_date")
-    n = W.recent(F.lit(1), [key], day, TIE, days)
-    before = Window.partitionBy(key).orderBy(day).rangeBetween(-(days - 1), -1)
-    same = Window.partitionBy(key, day).orderBy(*TIE).rowsBetween(Window.unboundedPreceding, -1)
-    wins = F.coalesce(F.sum("won").over(before), F.lit(0.0)) + F.coalesce(F.sum("won").over(same), F.lit(0.0))
-    rate = F.try_divide(wins, n)
-    return Family((key,), {f"{key}_runs_{days}d": n, f"{key}_rate_{days}d": rate, f"{key}_hot_{days}d": rate - W.prior_mean(F.col("won"), [key], TIE)}, (*TIE, "won"))
+    n = F.nullif(sums.recent(None, days), F.lit(0))
+    rate = F.try_divide(sums.recent("won", days), n)
+    return Family((key,), {f"{key}_runs_{days}d": n, f"{key}_rate_{days}d": rate, f"{key}_hot_{days}d": rate - sums.mean("won")}, ("race_date", "won"))
 
 
-def with_population(runs: DataFrame) -> DataFrame:
-    """runs with all_<outcome>, the mean of each outcome over all earlier runs of anyone: sums by day, then within the day."""
-    parts = [e for c in OUTCOMES for e in (F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"))]
-    days = runs.groupBy("race_date").agg(*parts)
-    until = Window.orderBy("race_date").rowsBetween(Window.unboundedPreceding, -1)  # one row a day
-    names = [f"_{k}_{c}" for c in OUTCOMES for k in "sn"]
-    world = days.select("race_date", *[F.coalesce(F.sum(x).over(until), F.lit(0)).alias(x) for x in names])
-    today = W.prior(["race_date"], TIE)
-    means = [F.try_divide(F.col(f"_s_{c}") + F.coalesce(F.sum(c).over(today), F.lit(0.0)), F.col(f"_n_{c}") + F.count(c).over(today)).alias(f"all_{c}") for c in OUTCOMES]
-    return runs.join(world, "race_date").select(*runs.columns, *means)
-
-
-def pedigree(keys: tuple[str, ...], k: float = 20.0) -> Family:
+def pedigree(keys: Sequence[str], sums: W.Earlier, everyone: Callable[[str], Column] = lambda c: F.col(f"all_{c}"), k: float = 20.0) -> Family:
     """A parent's prior results, overall or by going or distance, shrunk to those of the population; its runs and wins against chance."""
-    name, own = "_".join(keys), W.prior(list(keys), TIE)
-    shrunk = {f"{name}_{c}_shrunk": (F.coalesce(F.sum(c).over(own), F.lit(0.0)) + k * F.col(f"all_{c}")) / (F.count(c).over(own) + k) for c in OUTCOMES}
-    impact = F.try_divide(F.sum("won").over(own), F.nullif(F.sum("chance").over(own), F.lit(0.0)))
-    return Family(keys, {**shrunk, f"{name}_runs": W.prior_count(list(keys), TIE), f"{name}_impact": impact}, (*TIE, "chance", *OUTCOMES, *[f"all_{c}" for c in OUTCOMES]))
+    name = "_".join(keys)
+    shrunk = {f"{name}_{c}_shrunk": (sums.sum(c) + k * everyone(c)) / (sums.count(c) + k) for c in OUTCOMES}
+    impact = F.try_divide(sums.sum("won"), F.nullif(sums.sum("chance"), F.lit(0.0)))
+    return Family(tuple(keys), {**shrunk, f"{name}_runs": sums.count().cast("long"), f"{name}_impact": impact}, ("chance", *OUTCOMES, *[f"all_{c}" for c in OUTCOMES]))
+
+
+def with_population(runs: DataFrame) -> DataFrame:
+    """runs with all_<outcome>, the mean of each outcome over all earlier runs of anyone."""
+    sums = W.BySegment([], "race_date")
+    return segmented(runs, [(Family((), {f"all_{c}": sums.mean(c) for c in OUTCOMES}, OUTCOMES), sums)])
 
 
 RECORDS = (
@@ -144,17 +135,40 @@ RECORDS = (
 )
 
 
+def records(keys: Sequence[str], sums: W.Earlier, everyone: Callable[[str], Column] = lambda c: F.col(f"all_{c}")) -> list[Family]:
+    """What is summed by these keys."""
+    out = [by_key(keys, name, sums) for by, name in RECORDS if tuple(by) == tuple(keys)]
+    out += [hot_form(keys[0], days, sums) for days in (14, 30) if tuple(keys) in (("trainer",), ("jockey",))]
+    return out + [pedigree(keys, sums, everyone) for by in PEDIGREE if by == tuple(keys)]
+
+
+KEYS = (*[tuple(by) for by, _ in RECORDS], *PEDIGREE)
+
+
 def families() -> list[Family]:
-    """What needs the card alone."""
-    return [by_horse(), *[by_key(keys, name) for keys, name in RECORDS], *[hot_form(key, days) for key in ("trainer", "jockey") for days in (14, 30)], *[pedigree(keys) for keys in PEDIGREE]]
+    """What needs the card alone, and the means of the population for pedigree."""
+    return [by_horse(), *[f for keys in KEYS for f in records(keys, W.Earlier(keys, [ROW], "race_date"))]]
+
+
+def by_segments(few: Collection[tuple[str, ...]], names: Collection[str] | None) -> list[tuple[Family, W.BySegment]]:
+    """The records of keys of few values, those that are named, with their sums and the population's."""
+    out: list[tuple[Family, W.BySegment]] = []
+    for keys in few:
+        sums, anyone = W.BySegment(keys, "race_date"), W.BySegment([], "race_date")
+        every = records(keys, sums, anyone.mean)
+        cut = every if names is None else chosen(every, names)
+        out += [(f, sums) for f in cut]
+        if any(keys == by for by in PEDIGREE) and cut:
+            out.append((Family((), {}, ()), anyone))
+    return out
 
 
 def later_families(strengths: Sequence[str] = STRENGTHS) -> list[Family]:
     """What needs the first families: how strong each horse's last race was, and the places that a jockey's mounts came from."""
     w = W.ordered(*HORSE)
-    scores = F.try_divide(F.sum("horse_last_score").over(W.prior(["jockey"], TIE)), F.nullif(W.prior_count(["jockey"], TIE), F.lit(0))) * 10
+    scores = F.try_divide(F.sum("horse_last_score").over(W.prior(["jockey"], [ROW])), F.nullif(W.prior_count(["jockey"], [ROW]), F.lit(0))) * 10
     lags = {f"race_{c}_last": F.lag(f"race_{c}").over(w) for c in strengths}
-    return [Family(("horse_name",), lags, (*TIE, *[f"race_{c}" for c in strengths])), Family(("jockey",), {"jockey_mounts": scores}, (*TIE, "horse_last_score"))]
+    return [Family(("horse_name",), lags, tuple(f"race_{c}" for c in strengths)), Family(("jockey",), {"jockey_mounts": scores}, ("horse_last_score",))]
 
 
 # What is ranked within the race.
@@ -172,21 +186,29 @@ def features(history: DataFrame, columns: Collection[str] | None = None) -> Data
 
     columns: those of the card and the features that are asked for, if not all; only what they need is computed, shuffled and written, and the order (TIE), race_id and jockey come with them.
     The card and the first families are written once each; what follows reads only the columns it needs from them."""
-    key = "_row"
     asked = lambda c: columns is None or c in columns
     strengths = [c for c in STRENGTHS if asked(f"race_{c}") or asked(f"race_{c}_last")]
     places = [c for c in RANKED if asked(f"{c}_rank")]
-    first, later_ones = families(), later_families(strengths)
-    base = written(with_population(card(history)).withColumn(key, F.monotonically_increasing_id()), "card")
-    if columns is None:
-        wide = bundled(base, key, first)
-    else:
-        read = {key, "race_id", "jockey", *TIE, "horse_last_score", *columns, *places, *strengths}
-        wide = bundled(base, key, chosen(first, read))
-        wide, later_ones = wide.select(*[c for c in wide.columns if c in read]), chosen(later_ones, columns)
+    first, later_ones, runs = families(), later_families(strengths), card(history)
+    if columns is not None:
+        kept = {"race_id", "jockey", *TIE, "horse_last_score", *columns, *places, *strengths}
+        first, later_ones = chosen(first, kept), chosen(later_ones, columns)
+        needed = read(first, runs.columns) | (kept & set(runs.columns)) | set(OUTCOMES)
+        runs = runs.select(*[c for c in runs.columns if c in needed])
+    base = written(runs.orderBy(*TIE).withColumn(ROW, F.monotonically_increasing_id()), "card")
+    keyed = [keys for keys in KEYS if any(f.keys == keys for f in first)]
+    values = base.agg(*[F.approx_count_distinct(F.struct(*keys)).alias("_".join(keys)) for keys in keyed]).first() if keyed else {}
+    few = [keys for keys in keyed if values["_".join(keys)] <= FEW]
+    local = by_segments(few, None if columns is None else kept)
+    rest = [f for f in first if f.keys not in few]
+    if columns is None or any(f.keys in PEDIGREE for f in rest) or any(f"all_{c}" in columns for c in OUTCOMES):
+        base = written(with_population(base), "population")
+    wide = bundled(base, ROW, rest, segmented(base, local) if local else None)
+    if columns is not None:
+        wide = wide.select(ROW, *[c for c in wide.columns if c in kept])
     form = written(wide, "form")
     race = Window.partitionBy("race_id")
-    strong = form.select(key, "race_id", *strengths).select(key, *[F.avg(c).over(race).alias(f"race_{c}") for c in strengths])
-    later = written(form.select(key, "jockey", "horse_last_score", *TIE).join(strong, key), "strength")
-    out = form.join(bundled(later, key, later_ones).drop("jockey", "horse_last_score", *TIE), key)
-    return (out.join(ranked(form, key, "race_id", places), key) if places else out).drop(key)
+    strong = form.select(ROW, "race_id", *strengths).select(ROW, *[F.avg(c).over(race).alias(f"race_{c}") for c in strengths])
+    later = written(form.select(ROW, "jockey", "horse_last_score", "horse_name").join(strong, ROW), "strength")
+    out = form.join(bundled(later, ROW, later_ones).drop("jockey", "horse_last_score", "horse_name"), ROW)
+    return (out.join(ranked(form, ROW, "race_id", places), ROW) if places else out).drop(ROW)

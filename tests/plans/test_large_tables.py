@@ -6,7 +6,8 @@ from operator import add
 import pytest
 from pyspark.sql import functions as F
 
-from furlong.operators import calibrate
+from furlong.operators import calibrate, windows
+from furlong.operators.bundle import Family, segmented
 from furlong.plans import catalog_rows, features
 from furlong.plans.catalog import QUERIES
 from furlong.sources.staging import dealt, written
@@ -71,3 +72,25 @@ def test_features_that_are_not_asked_for_are_not_written(spark, monkeypatch):
     monkeypatch.setattr(features, "written", lambda df, name: wide.setdefault(name, df.columns) and written(df, name))
     QUERIES["form_features"](spark, SF)
     assert len(wide["form"]) < 50 and "horse_speed_career" not in wide["form"] and "horse_nfp_career" in wide["form"]
+
+
+def test_the_card_is_written_with_what_is_asked_for_alone(spark, monkeypatch):
+    wide = {}
+    monkeypatch.setattr(features, "written", lambda df, name: wide.setdefault(name, df.columns) and written(df, name))
+    out = QUERIES["form_features"](spark, SF)
+    assert len(wide["card"]) < 25 and "race_merit" not in wide["card"] and "nfp" in wide["card"]
+    found = plan(out)
+    assert "hashpartitioning(race_date" not in found and "hashpartitioning(sire" not in found
+
+
+def test_sums_by_segments_are_those_of_windows(spark):
+    lines = spark.range(600).selectExpr("date_add(date'2024-01-01', cast(id div 40 as int)) d", "id", "nullif(concat('k', hash(id) % 3), 'k0') k", "cast(hash(id, 1) % 2 as double) x", "if(id % 5 = 0, null, id / 7) y")
+    rows = written(lines.repartitionByRange(5, "id").sortWithinPartitions("id").withColumn(windows.BySegment.ROW, F.monotonically_increasing_id()), "rows")
+    assert rows.select(windows.BySegment.segment()).distinct().count() == 5
+    made = lambda s: {"n": s.count(), "sx": s.sum("x"), "my": s.mean("y"), "r3": s.recent(None, 3), "rx3": s.recent("x", 3)}
+    by, everyone = windows.BySegment(["k"], "d"), windows.BySegment([], "d")
+    got = segmented(rows, [(Family(("k",), made(by), ()), by), (Family((), {"all_y": everyone.mean("y")}, ()), everyone)])
+    plain = windows.Earlier(["k"], ["id"], "d")
+    want = rows.select("*", *[F.when(F.col("k").isNotNull(), c).alias(name) for name, c in made(plain).items()], windows.Earlier([], ["id"], "d").mean("y").alias("all_y"))
+    for a, b in zip(got.orderBy("id").collect(), want.orderBy("id").collect(), strict=True):
+        assert a.asDict() == pytest.approx(b.asDict())
