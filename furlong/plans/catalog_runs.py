@@ -9,6 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import written
 from . import runs
 from .catalog_rules import dealt, literal
 from .registry import query, r, table
@@ -221,7 +222,7 @@ FROM final LEFT JOIN s{PASSES} USING (course, surface, distance)"""
 @query(_live_sql())
 def uk_live(spark: SparkSession, sf: str) -> DataFrame:
     """The last years' cards rated live, by the tables that a batch over the years before leaves."""
-    every = runners(spark, sf, "UK")
+    every = written(runners(spark, sf, "UK"), "every")  # both parts read it
     before, today = (every.where(F.col("day") < F.lit(SPLIT_DAY).cast("date")), every.where(F.col("day") >= F.lit(SPLIT_DAY).cast("date")))
     tables = runs.batch(before, REGIONS["UK"], DRIFT_YEAR).tables
     rows = runs.live(today, tables, REGIONS["UK"], DRIFT_YEAR)

@@ -103,8 +103,8 @@ def batch(runners: DataFrame, region: Region = UK, drift_year: int = 2022) -> Ru
 
 
 def live(runners: DataFrame, tables: Mapping[str, DataFrame], region: Region = UK, drift_year: int = 2022) -> DataFrame:
-    """Cards just run, with a batch's tables: allowances of their own, every margin rated, confidence by standard and margin as well."""
-    kept = region.kept(runners)
+    """Cards just run, with a batch's tables: allowances of their own, every margin rated, confidence by standard and margin as well. The runners are read several times, so they are written."""
+    kept = written(region.kept(runners), "live_runners")
     known = tables["standards"]
     rows = adjusted(kept, known, written(G.live_allowances(kept, known, region.settings), "live_allowances"), region, live=True)
     counted = S.applied(rows, corrections(region, drift_year=drift_year), tables).join(known.select(*G.CONFIG, "n_races"), G.CONFIG, "left")
