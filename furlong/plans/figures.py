@@ -123,7 +123,7 @@ def standards(wins: DataFrame, allowances: DataFrame | None, s: Settings) -> Dat
 def with_standard(rows: DataFrame, known: DataFrame, guard: float | None = None) -> DataFrame:
     """rows with the standard of their configuration, interpolated over distance where it has none of its own."""
     curve = interpolate.curves(known, ["course", "surface"], "distance", "standard")
-    return interpolate.join_at(rows, curve, ["course", "surface"], "distance", "standard", guard)
+    return interpolate.joined_by_value(rows, curve, ["course", "surface"], "distance", "standard", guard)
 
 
 def split_cards(wins: DataFrame, s: Settings) -> DataFrame:
@@ -140,12 +140,16 @@ def going_priors(spark, s: Settings) -> DataFrame:
 
 def allowances(wins: DataFrame, known: DataFrame, s: Settings, priors: DataFrame | None = None) -> DataFrame:
     """(meeting_id, base_id, ga, se, n) in seconds a unit: deviations from standard, outliers dropped, cards split, extremes winsorized, meetings with
-    too few races estimated from the days next to them, all shrunk toward the prior of their going, large ones boosted."""
+    too few races estimated from the days next to them, all shrunk toward the prior of their going, large ones boosted.
+
+    The deviations, and the tables with a row a meeting, are written: each is read several times, and would be made anew each time."""
     class_adjusted = F.col("winner_time") - s.class_per_furlong * F.col("distance") / s.unit
     rated = with_standard(wins, known).where("standard is not null").withColumn("per_unit", (class_adjusted - F.col("standard")) / F.col("distance")).withColumn("base_id", F.col("meeting_id"))
-    split = split_cards(robust.without_outliers(rated, ["meeting_id"], "per_unit", s.z), s)
-    means = robust.winsorized(split, ["meeting_id", "base_id"], "per_unit").where(F.col("n") >= s.least_card).select("meeting_id", "base_id", F.col("winsor_mean").alias("raw"), F.col("winsor_se").alias("se"), "n")
-    meetings = wins.groupBy(F.col("meeting_id").alias("base_id")).agg(F.min("day").alias("day"), F.min("course").alias("course"), F.min("surface").alias("surface"), F.min_by("going", "race_no").alias("going"))
+    deviations = written(robust.without_outliers(rated.select("meeting_id", "base_id", "race_no", "race_id", "per_unit"), ["meeting_id"], "per_unit", s.z), "deviations")
+    winsorized = robust.winsorized(split_cards(deviations, s), ["meeting_id", "base_id"], "per_unit").where(F.col("n") >= s.least_card)
+    means = written(winsorized.select("meeting_id", "base_id", F.col("winsor_mean").alias("raw"), F.col("winsor_se").alias("se"), "n"), "means")
+    cards = wins.groupBy(F.col("meeting_id").alias("base_id")).agg(F.min("day").alias("day"), F.min("course").alias("course"), F.min("surface").alias("surface"), F.min_by("going", "race_no").alias("going"))
+    meetings = written(cards, "meetings")
     placed = means.join(meetings, "base_id")
     near = interpolate.day_neighbours(placed.groupBy("course", "surface", "day").agg(F.avg("raw").alias("raw")), ["course", "surface"], "day", "raw", "raw")
     lacking = meetings.join(means.select("base_id"), "base_id", "left_anti").join(near, ["course", "surface", "day"])
@@ -230,14 +234,15 @@ def figures(runners: DataFrame, known: DataFrame, going: DataFrame, s: Settings
     return joined.withColumn("raw_figure", raw).withColumn("weighted", F.col("raw_figure") + F.coalesce(F.col("weight") - s.base_weight, F.lit(0.0)))
 
 
-def add_age_allowance(runners: DataFrame, grid: DataFrame, figure: str = "weighted", name: str = "adjusted", unit: float = 1.0, oldest: int = 12) -> DataFrame:
-    """runners with name = figure + allowance. grid: (surface, age, month, distance in furlongs, pounds); older horses count as `oldest`, ages and months that the grid lacks are allowed 0."""
-    curves = interpolate.curves(grid, ["surface", "age", "month"], "distance", "pounds")
-    keyed = runners.withColumn("_age", F.least("age", F.lit(oldest))).withColumn("_month", F.month("day"))
-    keyed = keyed.withColumn("_furlongs", F.col("distance") / unit)
-    joined = keyed.join(curves.select(F.col("surface"), F.col("age").alias("_age"), F.col("month").alias("_month"), "curve"), ["surface", "_age", "_month"], "left")
-    pounds = F.coalesce(interpolate.at(F.col("curve"), F.col("_furlongs")), F.lit(0.0))
-    return joined.withColumn("allowance", pounds).withColumn(name, F.col(figure) + F.col("allowance")).drop("_age", "_month", "_furlongs", "curve")
+def add_age_allowance(runners: DataFrame, grid: DataFrame, figure: str = "weighted", name: str = "adjusted", unit: float = 1.0, oldest: int = 12, asked: DataFrame | None = None) -> DataFrame:
+    """runners with name = figure + allowance. grid: (surface, age, month, distance in furlongs, pounds); older horses count as `oldest`, ages and months that the grid lacks are allowed 0.
+
+    asked: the same runners before they were rated, from which ages, months and distances are read more cheaply."""
+    keys = ["surface", "_age", "_month"]
+    keyed = lambda df: df.withColumn("_age", F.least("age", F.lit(oldest))).withColumn("_month", F.month("day")).withColumn("_furlongs", F.col("distance") / unit)
+    curves = interpolate.curves(grid, ["surface", "age", "month"], "distance", "pounds").select("surface", F.col("age").alias("_age"), F.col("month").alias("_month"), "curve")
+    found = interpolate.joined_by_value(keyed(runners), curves, keys, "_furlongs", "allowance", asked=keyed(runners if asked is None else asked)).withColumn("allowance", F.coalesce("allowance", F.lit(0.0)))
+    return found.withColumn(name, F.col(figure) + F.col("allowance")).drop("_age", "_month", "_furlongs")
 
 
 def valid_target(target: Column, figure: Column) -> Column:

@@ -78,18 +78,21 @@ def corrections(region: Region, latest: int | None = None, drift_year: int = 202
     return [s.on(close) for s in first] + [s.on(valid) for s in later] + [drift.on(valid & year.between(drift_year, drift_year + 1)), final.on(valid & (beaten <= 20))]
 
 
-def attached(rated: DataFrame, going: DataFrame) -> DataFrame:
-    """rated with ga_value (0 where the meeting has none), ga_se (half the spread of all values where it has none) and confidence."""
+def attached(rated: DataFrame, going: DataFrame, runners: DataFrame) -> DataFrame:
+    """rated with ga_value (0 where the meeting has none), ga_se (half the spread of all values where it has none) and confidence.
+
+    runners: those that were rated, a row for each row of rated; the spread is taken over them, so that it needs no figures."""
     base = going.groupBy(F.col("base_id").alias("meeting_id")).agg(F.avg("ga").alias("ga_value"), F.avg("se").alias("ga_se"))
     joined = rated.join(base, "meeting_id", "left").withColumn("ga_value", F.coalesce("ga_value", F.lit(0.0)))
-    spread = joined.agg((F.stddev_samp("ga_value") * 0.5).alias("_fallback"))  # one row
+    values = runners.select("meeting_id").join(F.broadcast(base), "meeting_id", "left").select(F.coalesce("ga_value", F.lit(0.0)).alias("ga_value"))  # base has a row a meeting
+    spread = values.agg((F.stddev_samp("ga_value") * 0.5).alias("_fallback"))  # one row
     return joined.crossJoin(F.broadcast(spread)).withColumn("ga_se", F.coalesce("ga_se", "_fallback")).withColumn("confidence", scales.confidence(F.col("ga_value"))).drop("_fallback")
 
 
 def adjusted(runners: DataFrame, known: DataFrame, going: DataFrame, region: Region, live: bool = False) -> DataFrame:
     rated = G.figures(runners, known, going, region.settings, live)
-    aged = G.add_age_allowance(rated, scales.age_grid(runners.sparkSession, region.name), unit=region.settings.unit)
-    return attached(aged, going).withColumn("calibrated", F.col("adjusted"))
+    aged = G.add_age_allowance(rated, scales.age_grid(runners.sparkSession, region.name), unit=region.settings.unit, asked=runners)
+    return attached(aged, going, runners).withColumn("calibrated", F.col("adjusted"))
 
 
 def batch(runners: DataFrame, region: Region = UK, drift_year: int = 2022) -> Run:

@@ -6,9 +6,9 @@ from operator import add
 import pytest
 from pyspark.sql import functions as F
 
-from furlong.operators import calibrate, windows
+from furlong.operators import calibrate, interpolate, windows
 from furlong.operators.bundle import Family, segmented
-from furlong.plans import catalog_rows, features
+from furlong.plans import catalog_rows, catalog_runs, features, figures, runs
 from furlong.plans.catalog import QUERIES
 from furlong.sources.staging import dealt, written
 
@@ -94,3 +94,19 @@ def test_sums_by_segments_are_those_of_windows(spark):
     want = rows.select("*", *[F.when(F.col("k").isNotNull(), c).alias(name) for name, c in made(plain).items()], windows.Earlier([], ["id"], "d").mean("y").alias("all_y"))
     for a, b in zip(got.orderBy("id").collect(), want.orderBy("id").collect(), strict=True):
         assert a.asDict() == pytest.approx(b.asDict())
+
+
+def test_curves_are_looked_up_once_for_each_key_and_value(spark):
+    rows = spark.createDataFrame([(i, "ab"[i % 2], None if i == 3 else float(i % 5)) for i in range(40)], "i int, k string, x double")
+    known = interpolate.curves(spark.createDataFrame([("a", 1.0, 10.0), ("a", 3.0, 30.0)], "k string, x double, y double"), ["k"], "x", "y")
+    a, b, c = ({r.i: r.v for r in df.collect()} for df in (interpolate.joined_by_value(rows, known, ["k"], "x", "v"), interpolate.join_at(rows, known, ["k"], "x", "v"), interpolate.joined_by_value(rows.where("i < 5"), known, ["k"], "x", "v", asked=rows)))
+    assert a == b and len(a) == 40 and a[2] == 20.0 and a[0] == 10.0 and a[1] is None and c == {i: a[i] for i in range(5)}
+
+
+def test_steps_that_several_others_read_are_written(spark, monkeypatch):
+    named = []
+    keep = lambda df, name: named.append(name) or written(df, name)
+    for module in (figures, runs, catalog_runs):
+        monkeypatch.setattr(module, "written", keep)
+    assert QUERIES["uk_live"](spark, SF).count() > 0
+    assert named.count("every") == 1 and named.count("live_runners") == 1 and named.count("deviations") == named.count("means") == named.count("allowances")
